@@ -10,7 +10,7 @@ from tickforge.llm.storage import discard, settle
 
 def _star(pairs: DataFrame, large: bool) -> DataFrame:
     """pairs(u, v), u != v, both directions for the large star; u > v for the small one."""
-    low = pairs.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    low = settle(pairs.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("m")), "low")  # as a table, so that a join with a hot u can be split
     seen = pairs.join(low, "u")
     if large:
         return seen.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -19,7 +19,14 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickforge.llm.jaccard import jaccard_join
+
+    return jaccard_join(_table(spark, sf_dir, "documents"))[0].select("doc_id", "n_shingles", "component_id", "class_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_jaccard": op2_jaccard,
     "op5_bpe": op5_bpe,
 }
 
