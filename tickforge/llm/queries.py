@@ -19,6 +19,13 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digest(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickforge.llm.mixing import mix
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mix(docs, size=None).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tickforge.llm.jaccard import jaccard_join
 
@@ -26,8 +33,47 @@ def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mix": op1_mix,
     "op2_jaccard": op2_jaccard,
     "op5_bpe": op5_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+#: Words of a text, as the shingle and mixing operators count them.
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+_OP1 = rf"""
+WITH d AS (SELECT doc_id, source, CAST(len({_WORDS}) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS n, [5, 2, 1][(row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1] AS w FROM d GROUP BY source),
+o AS (SELECT *, sum(n) OVER ()::BIGINT AS all_n, sum(w) OVER ()::BIGINT AS all_w,
+  coalesce(sum(3 * n) OVER e, 0)::BIGINT AS n0, coalesce(sum(w) OVER e, 0)::BIGINT AS w0
+  FROM s WINDOW e AS (ORDER BY (3 * n)::DOUBLE / w, encode(source) NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+f AS (SELECT *, 3 * n * (all_w - w0) <= (all_n - n0) * w AS capped FROM o),
+r AS (SELECT max(CASE WHEN capped THEN n0 + 3 * n ELSE 0 END) AS n1, max(CASE WHEN capped THEN w0 + w ELSE 0 END) AS w1 FROM f),
+t AS (SELECT source, n, CASE WHEN capped THEN CAST(3 * n AS DOUBLE) ELSE CAST(all_n - n1 AS DOUBLE) * w / (all_w - w1) END AS target FROM f, r),
+g AS (SELECT *, CASE WHEN n > 0 THEN CAST(least(round_even(target, 0), 3 * n) AS BIGINT) // n ELSE 0 END AS passes,
+  CASE WHEN n > 0 THEN CAST(least(round_even(target, 0), 3 * n) AS BIGINT) % n ELSE 0 END AS rest FROM t),
+k AS (SELECT d.doc_id, d.size, g.*, md5('17:' || coalesce(d.doc_id::VARCHAR, '')) AS h FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source),
+b AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY ('0x' || substr(h, 1, 4))::INT % 1024, h, doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM k)
+SELECT doc_id, size, n AS source_size, target, CAST(size * passes + greatest(0, least(size, rest - before)) AS BIGINT) AS taken FROM b
+"""
+
+_OP2 = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS ws FROM documents),
+g AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) >= 5 THEN list_transform(range(1, len(ws) - 3), lambda i: ws[i:i + 4]) WHEN len(ws) > 0 THEN [ws] ELSE [] END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM g a JOIN g b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 75 * (x.n + y.n - o)),
+u AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT doc_id AS root, doc_id AS here FROM n UNION SELECT r.root, u.b FROM r JOIN u ON u.a = r.here),
+c AS (SELECT here, min(root) AS component_id FROM r GROUP BY here)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(c.component_id, w.doc_id) AS component_id,
+  coalesce(min(w.doc_id) OVER (PARTITION BY k.key), w.doc_id) AS class_id
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN c ON c.here = w.doc_id
+LEFT JOIN (SELECT doc_id, list_sort(list(s)) AS key FROM g GROUP BY doc_id) k ON k.doc_id = w.doc_id
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_mix": _OP1,
+    "op2_jaccard": _OP2,
+}
