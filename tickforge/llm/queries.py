@@ -11,6 +11,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickforge.llm.hilbert import shards
+
+    return shards(_table(spark, sf_dir, "documents"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -35,6 +41,7 @@ def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op2_jaccard": op2_jaccard,
+    "op4_hilbert": op4_hilbert,
     "op5_bpe": op5_bpe,
 }
 
