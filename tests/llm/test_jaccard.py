@@ -61,7 +61,7 @@ def run(spark, texts):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_random_corpora(spark, seed, monkeypatch):
     if seed == 2:
-        monkeypatch.setattr(jaccard, "FEW_COPIES", -1)
+        monkeypatch.setattr(jaccard, "FEW_IDS", -1)
     texts = corpus(seed)
     assert run(spark, texts) == brute(texts)
 
