@@ -11,6 +11,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickforge.llm.langid import identify
+
+    return identify(_table(spark, sf_dir, "documents"))
+
+
 def op4_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tickforge.llm.hilbert import shards
 
@@ -38,11 +44,19 @@ def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(_table(spark, sf_dir, "documents"))[0].select("doc_id", "n_shingles", "component_id", "class_id")
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickforge.llm.quality import classify
+
+    return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op2_jaccard": op2_jaccard,
+    "op3_langid": op3_langid,
     "op4_hilbert": op4_hilbert,
     "op5_bpe": op5_bpe,
+    "op10_quality": op10_quality,
 }
 
 #: Words of a text, as the shingle and mixing operators count them.
