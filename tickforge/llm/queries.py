@@ -44,6 +44,12 @@ def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(_table(spark, sf_dir, "documents"))[0].select("doc_id", "n_shingles", "component_id", "class_id")
 
 
+def op9_htmltext(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickforge.llm.htmltext import extract
+
+    return extract(_table(spark, sf_dir, "pages"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tickforge.llm.quality import classify
 
@@ -56,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_langid": op3_langid,
     "op4_hilbert": op4_hilbert,
     "op5_bpe": op5_bpe,
+    "op9_htmltext": op9_htmltext,
     "op10_quality": op10_quality,
 }
 
