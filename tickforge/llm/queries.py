@@ -44,6 +44,20 @@ def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(_table(spark, sf_dir, "documents"))[0].select("doc_id", "n_shingles", "component_id", "class_id")
 
 
+def op7_covertree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickforge.llm.covertree import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from tickforge.llm.topk import top_k
+
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op9_htmltext(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tickforge.llm.htmltext import extract
 
@@ -62,6 +76,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_langid": op3_langid,
     "op4_hilbert": op4_hilbert,
     "op5_bpe": op5_bpe,
+    "op7_covertree": op7_covertree,
+    "op8_topk": op8_topk,
     "op9_htmltext": op9_htmltext,
     "op10_quality": op10_quality,
 }
@@ -101,7 +117,30 @@ FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN c ON c.here = w.doc_id
 LEFT JOIN (SELECT doc_id, list_sort(list(s)) AS key FROM g GROUP BY doc_id) k ON k.doc_id = w.doc_id
 """
 
+_VECTOR = "SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings"
+_SOUND = "e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+_OP7 = rf"""
+WITH RECURSIVE v AS ({_VECTOR}),
+s AS (SELECT * FROM v WHERE label IS NOT NULL AND {_SOUND} AND len(list_filter(e, lambda x: x <> 0)) > 0),
+u AS (SELECT a.vec_id AS a, b.vec_id AS b FROM s a JOIN s b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+n AS (SELECT a, count(*) AS n FROM u GROUP BY a),
+r AS (SELECT a AS root, a AS here FROM n UNION SELECT r.root, u.b FROM r JOIN u ON u.a = r.here),
+c AS (SELECT here, min(root) AS low FROM r GROUP BY here)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(low, vec_id) AS component_id, coalesce(low, vec_id) = vec_id AS kept
+FROM v LEFT JOIN n ON n.a = vec_id LEFT JOIN c ON c.here = vec_id
+"""
+
+_OP8 = rf"""
+WITH v AS (SELECT vec_id, list_transform(e, lambda x: floor(1024 * x)) AS e FROM ({_VECTOR}) WHERE {_SOUND}),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM p
+QUALIFY rank <= 10
+"""
+
 ORACLE: dict[str, str] = {
     "op1_mix": _OP1,
     "op2_jaccard": _OP2,
+    "op7_covertree": _OP7,
+    "op8_topk": _OP8,
 }
