@@ -139,7 +139,7 @@ def _within(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[p
         yield from pairs(parts)
 
 
-def _small(ids: DataFrame) -> DataFrame:
+def small(ids: DataFrame) -> DataFrame:
     """A table of ids, to be broadcast if a count shows that it is small."""
     ids = settle(ids, "ids")
     return F.broadcast(ids) if ids.count() <= FEW_IDS else ids
@@ -162,7 +162,7 @@ def _links(pairs: DataFrame, df: DataFrame, id_col: str, text_col: str, width: i
                         seg.append(s[at[f] : at[f + 1]].view(np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(frag, pa.int32()), pa.array(total, pa.int64()), pa.array(seg, pa.list_(pa.int64()))], ["id", "frag", "n", "seg"])
 
-    ends = _small(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+    ends = small(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
     texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(ends, "id", "left_semi")
     segs = settle(texts.mapInArrow(cut, "id long, frag int, n long, seg array<long>").dropDuplicates(["id", "frag"]), "segments")
     left = segs.select(F.col("id").alias("a"), "frag", F.col("n").alias("na"), F.col("seg").alias("sa"))
@@ -193,7 +193,7 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     full = sets.where("n > 0 and id is not null")
     classes = settle(full.groupBy("f1", "f2", "n").agg(F.min("id").alias("class_id")), "classes")  # as a table, so that a join with a hot class can be split
     members = settle(full.select("id", "n", "f1", "f2").join(classes, ["f1", "f2", "n"]).select("id", "n", "class_id").distinct(), "members")
-    copies = _small(members.where("id <> class_id").select("id").distinct())
+    copies = small(members.where("id <> class_id").select("id").distinct())
     kept = full.join(copies, "id", "left_anti")
 
     posted = F.when(F.col("more").isNull(), 1).otherwise(F.size("more"))

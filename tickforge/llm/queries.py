@@ -44,6 +44,20 @@ def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(_table(spark, sf_dir, "documents"))[0].select("doc_id", "n_shingles", "component_id", "class_id")
 
 
+#: (verdict, host, path)
+URL_RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
+
+
+def op6_urlrules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from tickforge.llm.urlrules import judge
+
+    pages = _table(spark, sf_dir, "pages")
+    labels = _table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("block"))
+    return judge(pages, URL_RULES, pages.select("page_id", "url").join(labels, "page_id"))
+
+
 def op7_covertree(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tickforge.llm.covertree import near_duplicates
 
@@ -76,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_langid": op3_langid,
     "op4_hilbert": op4_hilbert,
     "op5_bpe": op5_bpe,
+    "op6_urlrules": op6_urlrules,
     "op7_covertree": op7_covertree,
     "op8_topk": op8_topk,
     "op9_htmltext": op9_htmltext,
