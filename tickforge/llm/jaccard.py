@@ -162,11 +162,14 @@ def _links(pairs: DataFrame, df: DataFrame, id_col: str, text_col: str, width: i
                         seg.append(s[at[f] : at[f + 1]].view(np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(frag, pa.int32()), pa.array(total, pa.int64()), pa.array(seg, pa.list_(pa.int64()))], ["id", "frag", "n", "seg"])
 
-    ends = small(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+    hubs, others = (small(pairs.select(F.col(c).alias("id")).distinct()) for c in ("a", "b"))
+    ends = small(hubs.union(others).distinct())
     texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(ends, "id", "left_semi")
-    segs = settle(texts.mapInArrow(cut, "id long, frag int, n long, seg array<long>").dropDuplicates(["id", "frag"]), "segments")
-    left = segs.select(F.col("id").alias("a"), "frag", F.col("n").alias("na"), F.col("seg").alias("sa"))
-    right = segs.select(F.col("id").alias("b"), "frag", F.col("n").alias("nb"), F.col("seg").alias("sb"))
+    segs = settle(texts.mapInArrow(cut, "id long, frag int, n long, seg array<long>"), "segments")
+    if segs.groupBy("id", "frag").count().where("count > 1").limit(1).count():
+        segs = segs.dropDuplicates(["id", "frag"])
+    left = segs.join(hubs, "id", "left_semi").select(F.col("id").alias("a"), "frag", F.col("n").alias("na"), F.col("seg").alias("sa"))
+    right = segs.join(others, "id", "left_semi").select(F.col("id").alias("b"), "frag", F.col("n").alias("nb"), F.col("seg").alias("sb"))
     parts = pairs.join(right, "b").join(left, ["a", "frag"]).select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).alias("o"))
     over = parts.groupBy("a", "b").agg(F.sum("o").alias("o"), F.first("na").alias("na"), F.first("nb").alias("nb"))
     links = settle(over.where(F.col("o") * den >= (F.col("na") + F.col("nb") - F.col("o")) * num).select("a", "b", F.col("o").alias("overlap")), "links")
