@@ -118,7 +118,7 @@ def tick_seconds(tick: Column) -> Column:
 
 
 def short_name(c: Column) -> Column:
-    """Last segment of a path with / or \; null if there is none."""
+    """Last segment of a path with slashes or backslashes; null if there is none."""
     path = F.regexp_replace(F.translate(c, "\\", "/"), "/+$", "")
     return F.nullif(F.element_at(F.split(path, "/"), -1), F.lit(""))
 

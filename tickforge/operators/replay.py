@@ -1,6 +1,6 @@
 """Games, participants, contexts, teams and graph context from scanned replays.
 
-players: (game_id, at, pos, fields as text), at being `first` or `last`.  All joins are on game and slot; a slot that
+players: (game_id, moment, pos, fields as text), moment being `first` or `last`.  All joins are on game and slot; a slot that
 occurs twice in a tick counts once, the last position winning.
 """
 
@@ -66,9 +66,9 @@ def network_contexts(network: DataFrame) -> DataFrame:
 
 def tick_contexts(players: DataFrame, machines: DataFrame) -> DataFrame:
     """Contexts of the last tick's players, filled from the first tick; machines: (game_id, machine) is the recording machine."""
-    p = slots(players).withColumns({"local": C.truncated(F.col("local_player")).cast("int"), "host": C.boolean(F.col("is_host")), "hostman": C.boolean(F.col("is_hostman"))}).select("game_id", "at", "pos", "slot", "local", "host", "hostman")
-    first = last_wins(p.where("at = 'first'")).select("game_id", "slot", *[F.col(c).alias(f"f_{c}") for c in ("local", "host", "hostman")])
-    j = last_wins(p.where("at = 'last'")).join(first, ["game_id", "slot"], "left").join(machines, "game_id", "left")
+    p = slots(players).withColumns({"local": C.truncated(F.col("local_player")).cast("int"), "host": C.boolean(F.col("is_host")), "hostman": C.boolean(F.col("is_hostman"))}).select("game_id", "moment", "pos", "slot", "local", "host", "hostman")
+    first = last_wins(p.where("moment = 'first'")).select("game_id", "slot", *[F.col(c).alias(f"f_{c}") for c in ("local", "host", "hostman")])
+    j = last_wins(p.where("moment = 'last'")).join(first, ["game_id", "slot"], "left").join(machines, "game_id", "left")
     j = j.select("game_id", "slot", "machine", *[F.coalesce(c, f"f_{c}").alias(c) for c in ("local", "host", "hostman")])
     here = (F.col("local") >= 0) & F.col("machine").isNotNull()
     own = j.select("game_id", "slot", F.when(here, F.col("machine")).alias("machine_index"), F.when(F.col("local") >= 0, F.col("local")).alias("controller_index"), F.coalesce("host", F.when(here, F.col("machine") == 0)).alias("is_host"), F.col("hostman").alias("is_hostman"))
@@ -134,8 +134,8 @@ def participants(players: DataFrame, meta: DataFrame) -> DataFrame:
     0 fall back to the sums by tick; assists don't count list lengths; an explicit null team stays null.
     """
     p = slots(players)
-    first = last_wins(p.where("at = 'first'")).select("game_id", "slot", F.col("team").alias("f_team"), F.col("name").alias("f_name"), F.col("player_name").alias("f_player_name"))
-    j = p.where("at = 'last'").join(first, ["game_id", "slot"], "left").join(meta, ["game_id", "slot"], "left")
+    first = last_wins(p.where("moment = 'first'")).select("game_id", "slot", F.col("team").alias("f_team"), F.col("name").alias("f_name"), F.col("player_name").alias("f_player_name"))
+    j = p.where("moment = 'last'").join(first, ["game_id", "slot"], "left").join(meta, ["game_id", "slot"], "left")
     n = lambda c: C.truncated(F.col(c))
     team = F.when(F.col("team_given"), n("team")).otherwise(n("f_team")).cast("int")
     or_sum = lambda c, s: F.when(F.coalesce(n(c), F.lit(0)) != 0, n(c)).otherwise(F.coalesce(s, F.lit(0)))
@@ -176,7 +176,7 @@ def graph_coverage(ends: DataFrame) -> DataFrame:
 def graph_players(players: DataFrame, host_slots: DataFrame, most: int = MOST_GRAPH_PLAYERS) -> DataFrame:
     """Baseline counters of the first tick's players: the first of a slot wins, 16 at most, host machine players left out."""
     base = [C.nonnegative(F.col(c)).alias(c) for c in ("kills", "deaths", "assists")]
-    p = slots(players.where("at = 'first'")).where("slot >= 0 and not coalesce(lower(trim(is_hostman)) in ('1','true','yes','on','y','t'), false)")
+    p = slots(players.where("moment = 'first'")).where("slot >= 0 and not coalesce(lower(trim(is_hostman)) in ('1','true','yes','on','y','t'), false)")
     p = p.join(host_slots, ["game_id", "slot"], "left_anti").select("game_id", "slot", "pos", *base).where("coalesce(kills, deaths, assists) is not null")
     w = Window.partitionBy("game_id", "slot").orderBy("pos")
     p = p.withColumn("_r", F.row_number().over(w)).where("_r = 1").withColumn("_k", F.row_number().over(Window.partitionBy("game_id").orderBy("pos")))

@@ -80,10 +80,10 @@ def _is_boolean(v: Column) -> Column:
 
 def end_players(replays: DataFrame) -> DataFrame:
     """Players of the first and the last tick as text columns: what operators.replay takes."""
-    ends = replays.where(F.size("ticks") > 0).select("game_id", F.explode(F.array(F.struct(F.lit("first").alias("at"), F.get("ticks", F.lit(0)).alias("t")), F.struct(F.lit("last").alias("at"), F.element_at("ticks", -1).alias("t")))).alias("e"))
-    p = ends.select("game_id", "e.at", F.posexplode("e.t.players").alias("pos", "p"))
+    ends = replays.where(F.size("ticks") > 0).select("game_id", F.explode(F.array(F.struct(F.lit("first").alias("moment"), F.get("ticks", F.lit(0)).alias("t")), F.struct(F.lit("last").alias("moment"), F.element_at("ticks", -1).alias("t")))).alias("e"))
+    p = ends.select("game_id", "e.moment", F.posexplode("e.t.players").alias("pos", "p"))
     names = ["player_index", "local_player", "name", "player_name", "team", "score", "ctf_score", "kills", "deaths", "assists", "suicides", "team_kills"]
-    return p.select("game_id", "at", "pos", *[C.as_text(F.col(f"p.{n}")).alias(n) for n in names], F.col("p.team").isNotNull().alias("team_given"), C.as_text(F.col("p.derived_stats.is_host")).alias("is_host"), C.as_text(F.col("p.derived_stats.is_hostman")).alias("is_hostman"))
+    return p.select("game_id", "moment", "pos", *[C.as_text(F.col(f"p.{n}")).alias(n) for n in names], F.col("p.team").isNotNull().alias("team_given"), C.as_text(F.col("p.derived_stats.is_host")).alias("is_host"), C.as_text(F.col("p.derived_stats.is_hostman")).alias("is_hostman"))
 
 
 def event_counts(replays: DataFrame, sample: int = 10) -> DataFrame:
