@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.llm.bytesops import slices
+from tickforge.llm.bytesops import map_batches, slices
 
 _NONE = np.int32(np.iinfo(np.int32).max)
 _loaded: dict[tuple[str, str], "ByteBpe"] = {}
@@ -35,7 +35,7 @@ class ByteBpe:
     length are accepted; a row of n bytes takes at most n - 1 rounds.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, most_cached: int = 200_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, most_cached: int = 100_000):
         self.ranks, self.pattern, self.most_cached = ranks, regex.compile(pattern), most_cached
         self.token = {v: k for k, v in ranks.items()}
         self.byte_id = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int32)
@@ -138,7 +138,7 @@ class ByteBpe:
             inside = best < rank.shape[1]
             rank[row[inside], best[inside]] = new_right[inside]
 
-    def encode_pieces(self, pieces: list[bytes], cells: int = 1 << 20) -> list[list[int]]:
+    def encode_pieces(self, pieces: list[bytes], cells: int = 1 << 18) -> list[list[int]]:
         out: list = [None] * len(pieces)
         todo = []
         for i, p in enumerate(pieces):
@@ -200,7 +200,7 @@ def bpe_tokens(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", t
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([[i for p in ps for i in ids[p]] for ps in split], pa.list_(pa.int32()))], ["id", "ids"])
 
     kind = dict(df.dtypes)[id_col]
-    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
+    return map_batches(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
 
 
 def bpe_digest(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -225,4 +225,4 @@ def bpe_digest(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", t
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(count, pa.int64()), pa.array(sha, pa.string()), pa.array(back, pa.string())], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = dict(df.dtypes)[id_col]
-    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
+    return map_batches(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+#: Rows that go between the JVM and Python at once, so that a batch of long texts stays small on both sides.
+BATCH_ROWS = 2000
 
 _rng = np.random.Generator(np.random.PCG64(20240517))
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -30,13 +33,21 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut a batch so that each part holds about limit bytes of text; one row is never cut."""
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """mapInArrow with batches of at most BATCH_ROWS rows."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df.mapInArrow(run, schema)
+
+
+def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES, rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
+    """Cut a batch so that each part holds about limit bytes of text and at most rows rows; one row is never cut."""
     n = batch.num_rows
     if not n:
         return
     size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(size, dtype=np.int64) // limit
+    part = np.cumsum(size, dtype=np.int64) // limit + (np.arange(n) // rows << 40)
     edges = np.flatnonzero(np.diff(part)) + 1
     for a, b in zip([0, *edges.tolist()], [*edges.tolist(), n], strict=True):
         yield batch.slice(a, b - a)

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickforge.llm.bytesops import map_batches
 from tickforge.llm.components import components
 from tickforge.llm.storage import settle
 
@@ -190,7 +191,7 @@ def near_duplicates(df: DataFrame, cosine: float = 0.98, id_col: str = "vec_id",
                 code.append(int(np.packbits(planes[len(x)] @ x > 0).view(">u2")[0]))
             yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()), pa.array(label, pa.string()), pa.array(dims, pa.int32()), pa.array(u, pa.binary()), pa.array(code, pa.int32())], ["v", "l", "d", "u", "code"])
 
-    rows = settle(base.where(F.coalesce(sound, F.lit(False))).mapInArrow(unit, "v long, l string, d int, u binary, code int"), "units")
+    rows = settle(map_batches(base.where(F.coalesce(sound, F.lit(False))), unit, "v long, l string, d int, u binary, code int"), "units")
     # as many leading signs as bring a label's cells near BLOCK; fuller cells are cut further by a hash of the id
     labels = settle(rows.groupBy("l", "d").agg(F.least(F.lit(PROJECTIONS), F.ceil(F.log2(F.greatest(F.lit(1.0), F.count("*") / BLOCK)))).cast("int").alias("bits")), "labels")
     cells = rows.join(labels, ["l", "d"]).withColumn("cell", F.floor(F.col("code") / F.pow(F.lit(2), PROJECTIONS - F.col("bits"))).cast("int")).drop("code", "bits")
@@ -209,7 +210,7 @@ def near_duplicates(df: DataFrame, cosine: float = 0.98, id_col: str = "vec_id",
                 radius.append(float(np.sqrt(np.max(np.sum((x - c) ** 2, axis=1)))))
             yield pa.RecordBatch.from_arrays([batch.column("l"), batch.column("d"), batch.column("block"), batch.column("m"), pa.array(centre, pa.list_(pa.float64())), pa.array(radius, pa.float64())], ["l", "d", "block", "m", "c", "r"])
 
-    blocks = settle(packed.mapInArrow(shape, "l string, d int, block string, m array<struct<v: long, u: binary>>, c array<double>, r double"), "blocks")
+    blocks = settle(map_batches(packed, shape, "l string, d int, block string, m array<struct<v: long, u: binary>>, c array<double>, r double"), "blocks")
     one = blocks.select("l", "d", F.col("block").alias("ba"), F.col("c").alias("ca"), F.col("r").alias("ra"))
     two = blocks.select("l", "d", F.col("block").alias("bb"), F.col("c").alias("cb"), F.col("r").alias("rb"))
     apart = F.sqrt(F.aggregate(F.zip_with("ca", "cb", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
@@ -235,7 +236,7 @@ def near_duplicates(df: DataFrame, cosine: float = 0.98, id_col: str = "vec_id",
                 ids, n, low = summarise(linked(a, b, cosine), ia, ib, ba == bb)
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(low, pa.int64())], ["v", "n", "low"])
 
-    found = settle(pairs.select("ba", "bb", "d", "ma", "mb").mapInArrow(meet, "v long, n long, low long"), "found")
+    found = settle(map_batches(pairs.select("ba", "bb", "d", "ma", "mb"), meet, "v long, n long, low long"), "found")
     comp = components(found, "v", "low")
     counts = found.groupBy("v").agg(F.sum("n").alias("n"))
     out = base.select("v").join(counts, "v", "left").join(comp.withColumnRenamed("id", "v"), "v", "left")

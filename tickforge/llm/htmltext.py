@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.llm.bytesops import slices
+from tickforge.llm.bytesops import map_batches, slices
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<(?:!|\?)[^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)|<", re.S)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
@@ -239,4 +239,4 @@ def extract(df: DataFrame, keep: tuple[str, ...] = ("page_id", "url"), html_col:
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], pa.array(texts, pa.string()), pa.array(list(map(len, texts)), pa.int64())], [*keep, "text", "n_chars"])
 
     schema = ", ".join(f"`{c}` {k}" for c, k in df.select(*keep).dtypes)
-    return df.select(*keep, F.col(html_col).alias("_html")).mapInArrow(run, f"{schema}, text string, n_chars long")
+    return map_batches(df.select(*keep, F.col(html_col).alias("_html")), run, f"{schema}, text string, n_chars long")

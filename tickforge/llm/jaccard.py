@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickforge.llm.bytesops import shingles, slices, utf8, words
+from tickforge.llm.bytesops import map_batches, shingles, slices, utf8, words
 from tickforge.llm.components import components
 from tickforge.llm.storage import discard, settle
 
@@ -61,7 +61,7 @@ def shingle_sets(df: DataFrame, id_col: str, text_col: str, width: int, top: int
                 np.cumsum([len(x) for x in low], out=off[1:])
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(ns, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(half, pa.int64()), pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(low) if low else np.zeros(0, np.int64), pa.int64())), pa.array(bits, pa.binary())], ["id", "n", "f1", "f2", "half", "low", "bits"])
 
-    return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, n long, f1 long, f2 long, half long, low array<long>, bits binary")
+    return map_batches(df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), run, "id long, n long, f1 long, f2 long, half long, low array<long>, bits binary")
 
 
 def _postings(sets: DataFrame, top: int) -> DataFrame:
@@ -98,7 +98,7 @@ def _postings(sets: DataFrame, top: int) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(loff), pa.array(rec[np.repeat(~single, count)], pa.int64()), mask=pa.array(single))
             yield pa.RecordBatch.from_arrays([pa.array(token[first], pa.int64()), pa.array(rec[first], pa.int64(), mask=~single), lists], ["token", "rec", "more"])
 
-    return sets.select("id", "n", "low").mapInArrow(run, "token long, rec long, more array<long>")
+    return map_batches(sets.select("id", "n", "low"), run, "token long, rec long, more array<long>")
 
 
 def _within(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
@@ -165,7 +165,7 @@ def _links(pairs: DataFrame, df: DataFrame, id_col: str, text_col: str, width: i
     hubs, others = (small(pairs.select(F.col(c).alias("id")).distinct()) for c in ("a", "b"))
     ends = small(hubs.union(others).distinct())
     texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(ends, "id", "left_semi")
-    segs = settle(texts.mapInArrow(cut, "id long, frag int, n long, seg array<long>"), "segments")
+    segs = settle(map_batches(texts, cut, "id long, frag int, n long, seg array<long>"), "segments")
     if segs.groupBy("id", "frag").count().where("count > 1").limit(1).count():
         segs = segs.dropDuplicates(["id", "frag"])
     left = segs.join(hubs, "id", "left_semi").select(F.col("id").alias("a"), "frag", F.col("n").alias("na"), F.col("seg").alias("sa"))

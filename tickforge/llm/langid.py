@@ -16,10 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.llm.bytesops import slices, utf8
+from tickforge.llm.bytesops import map_batches, slices, utf8
 from tickforge.llm.sampling import held_out, per_class
 
 CELLS = 4096
+#: Rows whose dense vectors are in memory at once.
+VECTORS = 256
 #: Most training rows in all; they are shared out equally among the languages.
 MOST_TRAIN = 1600
 
@@ -49,7 +51,7 @@ def trigram_vectors(data: np.ndarray, off: np.ndarray) -> np.ndarray:
         keep[ends] = False
     n = np.bincount(row[keep] * CELLS + cell[keep], minlength=rows * CELLS).reshape(rows, CELLS)
     total = n.sum(axis=1, keepdims=True)
-    return np.sqrt(n / np.maximum(total, 1)).astype(np.float32)
+    return np.sqrt(n.astype(np.float32) / np.maximum(total, 1).astype(np.float32))
 
 
 def linear_svm(x: np.ndarray, y: np.ndarray, ridge: float = 1e-4, rounds: int = 250) -> tuple[np.ndarray, float]:
@@ -128,30 +130,32 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", rows=VECTORS):
                 v = trigram_vectors(*utf8(part.column("text"))).astype(np.float16)
                 yield pa.RecordBatch.from_arrays([part.column("i"), part.column("lang"), pa.array([x.tobytes() for x in v], pa.binary())], ["i", "lang", "v"])
 
     kind = dict(rows.dtypes)["i"]
-    got = sorted(picked.mapInArrow(run, f"i {kind}, lang string, v binary").collect(), key=lambda r: (r["lang"], repr(r["i"]), r["v"]))
+    got = sorted(map_batches(picked, run, f"i {kind}, lang string, v binary").collect(), key=lambda r: (r["lang"], repr(r["i"]), r["v"]))
     x = np.array([np.frombuffer(r["v"], np.float16) for r in got], dtype=np.float32).reshape(len(got), CELLS)
     return LanguageModel(x, [r["lang"] for r in got])
 
 
 def predict(df: DataFrame, model: LanguageModel, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The kept columns with lang_pred and score of every whole text; `und` and 0 where it is null or has no letter."""
+    source = text_col if text_col in keep else "_text"  # a text that is kept anyway goes to Python once
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "_text"):
-                lang, score = model.predict(trigram_vectors(*utf8(part.column("_text"))))
+            for part in slices(batch, source, rows=VECTORS):
+                lang, score = model.predict(trigram_vectors(*utf8(part.column(source))))
                 dumb = ~np.array(part.column("_letter").to_pylist(), dtype=bool)
                 lang[dumb], score[dumb] = "und", 0.0
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], pa.array(lang.tolist(), pa.string()), pa.array(score, pa.float64())], [*keep, "lang_pred", "score"])
 
     letter = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("_letter")
     schema = ", ".join(f"`{c}` {k}" for c, k in df.select(*keep).dtypes)
-    return df.select(*keep, F.col(text_col).alias("_text"), letter).mapInArrow(run, f"{schema}, lang_pred string, score double")
+    own = [] if source in keep else [F.col(text_col).alias(source)]
+    return map_batches(df.select(*keep, *own, letter), run, f"{schema}, lang_pred string, score double")
 
 
 def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most: int = MOST_TRAIN) -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.llm.bytesops import slices, utf8
+from tickforge.llm.bytesops import map_batches, slices, utf8
 from tickforge.llm.sampling import held_out, per_class
 
 FILTERS, HIDDEN, HALF, LAGS = 8, 8, 64, range(2, 26)
@@ -178,16 +178,18 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 def score(df: DataFrame, model: ByteCnn, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The kept columns with score of every whole text."""
+    source = text_col if text_col in keep else "_text"  # a text that is kept anyway goes to Python once
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = model.tables()
         for batch in batches:
-            for part in slices(batch, "_text", 1 << 20):
-                s = model.score(*utf8(part.column("_text")), tables)
+            for part in slices(batch, source, 1 << 19):
+                s = model.score(*utf8(part.column(source)), tables)
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], pa.array(s, pa.float64())], [*keep, "score"])
 
     schema = ", ".join(f"`{c}` {k}" for c, k in df.select(*keep).dtypes)
-    return df.select(*keep, F.col(text_col).alias("_text")).mapInArrow(run, f"{schema}, score double")
+    own = [] if source in keep else [F.col(text_col).alias(source)]
+    return map_batches(df.select(*keep, *own), run, f"{schema}, score double")
 
 
 def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", each: int = EACH) -> DataFrame:

@@ -15,6 +15,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickforge.llm.bytesops import map_batches
+
 #: Stated rules are held in the query's plan; more than this many are refused.
 MOST_RULES = 1000
 _BLOCK = "label=block"
@@ -91,7 +93,7 @@ def match(df: DataFrame, rules: list[tuple[frozenset[str], float, float]], keep:
     url = F.col(url_col)
     rows = df.select(*keep, host_of(url).alias("host"), path_of(url).alias("path"), tokens_of(url).alias("_tokens"))
     schema = ", ".join(f"`{c}` {k}" for c, k in rows.drop("_tokens").dtypes)
-    return rows.mapInArrow(run, f"{schema}, mined string")
+    return map_batches(rows, run, f"{schema}, mined string")
 
 
 def judge(df: DataFrame, stated: list[tuple[str, str, str]], labelled: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url", label_col: str = "block", **limits: float) -> DataFrame:
