@@ -25,7 +25,7 @@ from pyspark.sql.window import Window
 
 from tickforge.llm.bytesops import map_batches, shingles, slices, utf8, words
 from tickforge.llm.components import components
-from tickforge.llm.storage import discard, settle
+from tickforge.llm.storage import discard, release, settle
 
 FRAGMENTS = 4
 #: Sets of at most this size are indexed whole; the low half of a larger one holds over a quarter of it.
@@ -42,52 +42,50 @@ def _bitmap(tokens: np.ndarray) -> bytes:
     return np.packbits(np.bincount((tokens & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS).astype(np.uint8) & 1).tobytes()
 
 
-def shingle_sets(df: DataFrame, id_col: str, text_col: str, width: int, top: int) -> DataFrame:
-    """(id, n, f1, f2, half, low array<long>, bits): size, 128-bit digest, count in the low half, indexed hashes, bitmap."""
+def shingle_sets(df: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
+    """(id, n, f1, f2, half): size, 128-bit digest and count in the low half of each row's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                ns, f1, f2, half, low, bits = [], [], [], [], [], []
+                rows = []
                 for s in shingles(*words(*utf8(part.column("text"))), width):
-                    ns.append(len(s))
                     with np.errstate(over="ignore"):
-                        f1.append(int(np.sum(s, dtype=np.uint64).astype(np.int64)))
-                        f2.append(int(np.sum((s ^ (s >> np.uint64(29))) * (s | np.uint64(1)), dtype=np.uint64).astype(np.int64)))
-                    half.append(int(np.searchsorted(s, _HALF)))
-                    low.append((s if len(s) <= top else s[: half[-1]]).view(np.int64))
-                    bits.append(_bitmap(s) if len(s) else b"")
-                off = np.zeros(len(low) + 1, dtype=np.int32)
-                np.cumsum([len(x) for x in low], out=off[1:])
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(ns, pa.int64()), pa.array(f1, pa.int64()), pa.array(f2, pa.int64()), pa.array(half, pa.int64()), pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(low) if low else np.zeros(0, np.int64), pa.int64())), pa.array(bits, pa.binary())], ["id", "n", "f1", "f2", "half", "low", "bits"])
+                        f1 = int(np.sum(s, dtype=np.uint64).astype(np.int64))
+                        f2 = int(np.sum((s ^ (s >> np.uint64(29))) * (s | np.uint64(1)), dtype=np.uint64).astype(np.int64))
+                    rows.append((len(s), f1, f2, int(np.searchsorted(s, _HALF))))
+                columns = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([part.column("id"), *[pa.array(c, pa.int64()) for c in columns]], ["id", "n", "f1", "f2", "half"])
 
-    return map_batches(df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), run, "id long, n long, f1 long, f2 long, half long, low array<long>, bits binary")
+    return map_batches(_texts(df, id_col, text_col), run, "id long, n long, f1 long, f2 long, half long")
 
 
-def _postings(sets: DataFrame, top: int) -> DataFrame:
+def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+
+
+def _postings(texts: DataFrame, width: int, top: int) -> DataFrame:
     """(token, rec, more): the indexed tokens of each set; those that meet within a batch are one row, with more ids.
 
-    rec is 2 id for the whole set (small sets) and 2 id + 1 for its low half; tokens of either are kept apart.
+    rec is 2 id for the whole set (up to top) and 2 id + 1 for the low half (above SMALL); tokens of either are kept apart.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids = batch.column("id").to_numpy()
-            n = batch.column("n").to_numpy()
-            column = batch.column("low")
-            off = column.offsets.to_numpy().astype(np.int64)
-            values = column.values.to_numpy()
-            size = np.diff(off)
-            of = np.repeat(np.arange(len(ids)), size)
-            values = values[off[0] : off[-1]]
-            whole = n[of] <= top
-            half = (n[of] > SMALL) & (values >= 0)  # the low half of unsigned hashes
-            token = np.concatenate([values[whole] ^ _SALT, values[half]])
-            rec = np.concatenate([ids[of[whole]] * 2, ids[of[half]] * 2 + 1])
+            tokens, recs = [], []
+            for part in slices(batch, "text"):
+                for i, s in zip(part.column("id").to_pylist(), shingles(*words(*utf8(part.column("text"))), width), strict=True):
+                    if len(s) <= top:
+                        tokens.append(s.view(np.int64) ^ _SALT)
+                        recs.append((2 * i, len(s)))
+                    if len(s) > SMALL:
+                        low = s[: np.searchsorted(s, _HALF)].view(np.int64)
+                        tokens.append(low)
+                        recs.append((2 * i + 1, len(low)))
+            token = np.concatenate(tokens) if tokens else np.zeros(0, np.int64)
             if not len(token):
                 continue
+            rec = np.repeat(np.array([r for r, _ in recs], dtype=np.int64), [n for _, n in recs])
             order = np.argsort(token, kind="stable")
             token, rec = token[order], rec[order]
             first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
@@ -98,7 +96,19 @@ def _postings(sets: DataFrame, top: int) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(loff), pa.array(rec[np.repeat(~single, count)], pa.int64()), mask=pa.array(single))
             yield pa.RecordBatch.from_arrays([pa.array(token[first], pa.int64()), pa.array(rec[first], pa.int64(), mask=~single), lists], ["token", "rec", "more"])
 
-    return map_batches(sets.select("id", "n", "low"), run, "token long, rec long, more array<long>")
+    return map_batches(texts, run, "token long, rec long, more array<long>")
+
+
+def _bitmaps(texts: DataFrame, width: int) -> DataFrame:
+    """(id, n, bits) of each text's set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                found = [(len(s), _bitmap(s)) for s in shingles(*words(*utf8(part.column("text"))), width)]
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([n for n, _ in found], pa.int64()), pa.array([b for _, b in found], pa.binary())], ["id", "n", "bits"])
+
+    return map_batches(texts, run, "id long, n long, bits binary")
 
 
 def _within(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
@@ -164,7 +174,7 @@ def _links(pairs: DataFrame, df: DataFrame, id_col: str, text_col: str, width: i
 
     hubs, others = (small(pairs.select(F.col(c).alias("id")).distinct()) for c in ("a", "b"))
     ends = small(hubs.union(others).distinct())
-    texts = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(ends, "id", "left_semi")
+    texts = _texts(df, id_col, text_col).join(ends, "id", "left_semi")
     segs = settle(map_batches(texts, cut, "id long, frag int, n long, seg array<long>"), "segments")
     if segs.groupBy("id", "frag").count().where("count > 1").limit(1).count():
         segs = segs.dropDuplicates(["id", "frag"])
@@ -177,6 +187,42 @@ def _links(pairs: DataFrame, df: DataFrame, id_col: str, text_col: str, width: i
     return links
 
 
+def _live(texts: DataFrame, full: DataFrame, members: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """(rec, n, odd, t): of each set that may have a partner, the rarest shingles t by which it is found.
+
+    odd is its share of shingles that no other set holds, in thousandths.
+    """
+    top = SMALL * den // num
+    copies = small(members.where("id <> class_id").select("id").distinct())
+    kept = full.join(copies, "id", "left_anti")
+    posted = F.when(F.col("more").isNull(), 1).otherwise(F.size("more"))
+    met = _postings(texts.join(copies, "id", "left_anti"), width, top).withColumn("df", F.sum(posted).over(Window.partitionBy("token"))).where("df > 1")
+    met = met.select("token", "df", F.explode(F.when(F.col("more").isNull(), F.array("rec")).otherwise(F.col("more"))).alias("rec"))
+    shared = met.groupBy("rec").agg(F.collect_set(F.struct("df", "token")).alias("t"))
+    whole = kept.where(f"n <= {top}").select((F.col("id") * 2).alias("rec"), "n", F.col("n").alias("have"))
+    low = kept.where(f"n > {SMALL}").select((F.col("id") * 2 + 1).alias("rec"), "n", F.col("half").alias("have"))
+    miss = F.floor(F.col("n") * (den - num) / den).cast("long")
+    own = F.col("have") - F.size("t")
+    prefix = shared.join(whole.unionByName(low).distinct(), "rec").withColumn("own", own).withColumn("take", (miss + 1 - F.col("own")).cast("int")).where("take > 0")
+    first = F.transform(F.slice(F.sort_array("t"), F.lit(1), F.col("take")), lambda x: x["token"])
+    return settle(prefix.select("rec", "n", (F.col("own") * 1000 / F.col("have")).cast("long").alias("odd"), first.alias("t")), "live")
+
+
+def _more(df: DataFrame, live: DataFrame, stars: DataFrame, comp: DataFrame, id_col: str, text_col: str, width: int, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) that share such a shingle, are in different components so far, and that no bitmap rules out."""
+    tagged = live.withColumn("id", F.shiftright("rec", 1)).join(comp.withColumnRenamed("component", "comp"), "id", "left").select("rec", "id", "n", F.coalesce("comp", "id").alias("comp"), "t")
+    rows = tagged.select("rec", "comp", F.explode("t").alias("token"))
+    open_ = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
+    rest = settle(rows.join(open_, "token", "left_semi").select("token", "rec"), "rest")
+    ids = small(rest.select(F.shiftright("rec", 1).alias("id")).distinct())
+    bits = settle(_bitmaps(_texts(df, id_col, text_col).join(ids, "id", "left_semi"), width).dropDuplicates(["id", "n"]), "bitmaps")
+    rest = rest.join(tagged.select("rec", "id", "n", "comp").distinct(), "rec").join(bits, ["id", "n"]).select("token", "rec", "n", "comp", "bits")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pairs = map_batches(rest.repartition(parts, "token").sortWithinPartitions("token"), lambda it: _within(it, num, den), "a long, b long").distinct()
+    known = stars.select("a", "b").union(stars.select("b", "a"))
+    return settle(pairs.join(known, ["a", "b"], "left_anti"), "more")
+
+
 def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 75, den: int = 100) -> tuple[DataFrame, DataFrame]:
     """Return (documents, links).
 
@@ -191,25 +237,12 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     through that id).  The threshold must be 0.7 or more, so that the low half of a set reaches beyond what may miss.
     """
     spark = df.sparkSession
-    top = SMALL * den // num
-    sets = settle(shingle_sets(df, id_col, text_col, width, top), "sets")
+    sets = settle(shingle_sets(df, id_col, text_col, width), "sets")
     full = sets.where("n > 0 and id is not null")
     classes = settle(full.groupBy("f1", "f2", "n").agg(F.min("id").alias("class_id")), "classes")  # as a table, so that a join with a hot class can be split
     members = settle(full.select("id", "n", "f1", "f2").join(classes, ["f1", "f2", "n"]).select("id", "n", "class_id").distinct(), "members")
-    copies = small(members.where("id <> class_id").select("id").distinct())
-    kept = full.join(copies, "id", "left_anti")
-
-    posted = F.when(F.col("more").isNull(), 1).otherwise(F.size("more"))
-    met = _postings(kept, top).withColumn("df", F.sum(posted).over(Window.partitionBy("token"))).where("df > 1")
-    met = met.select("token", "df", F.explode(F.when(F.col("more").isNull(), F.array("rec")).otherwise(F.col("more"))).alias("rec"))
-    shared = met.groupBy("rec").agg(F.collect_set(F.struct("df", "token")).alias("t"))
-    whole = kept.select((F.col("id") * 2).alias("rec"), "n", F.col("n").alias("have"), "bits").where(f"n <= {top}")
-    low = kept.where(f"n > {SMALL}").select((F.col("id") * 2 + 1).alias("rec"), "n", F.col("half").alias("have"), "bits")
-    sizes = whole.unionByName(low)
-    miss = F.floor(F.col("n") * (den - num) / den).cast("long")
-    own = F.col("have") - F.size("t")
-    prefix = shared.join(sizes, "rec").withColumn("own", own).withColumn("take", (miss + 1 - F.col("own")).cast("int")).where("take > 0")
-    live = settle(prefix.select("rec", "n", "bits", (F.col("own") * 1000 / F.col("have")).cast("long").alias("odd"), F.transform(F.slice(F.sort_array("t"), F.lit(1), F.col("take")), lambda x: x["token"]).alias("t")), "live")
+    live = _live(_texts(df, id_col, text_col).where("id is not null"), full, members, width, num, den)
+    release(spark)
 
     rows = live.select("rec", "n", "odd", F.explode("t").alias("token"))
     hubs = settle(rows.groupBy("token").agg(F.min(F.struct("odd", "rec", "n")).alias("hub"), F.count("*").alias("g")).where("g > 1"), "hubs")
@@ -217,16 +250,9 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     stars = rows.join(hubs, "token").where(near & (F.col("rec") != F.col("hub.rec")))
     stars = settle(stars.select(F.shiftright("hub.rec", 1).alias("a"), F.shiftright("rec", 1).alias("b")).where("a <> b").distinct(), "stars")
     links = _links(stars, df, id_col, text_col, width, num, den)
+    release(spark)
 
-    comp = components(links)
-    tagged = live.withColumn("id", F.shiftright("rec", 1)).join(comp.withColumnRenamed("component", "comp"), "id", "left").select("rec", "n", "bits", F.coalesce("comp", "id").alias("comp"), "t")
-    rows = tagged.select("rec", "comp", F.explode("t").alias("token"))
-    open_ = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
-    rest = settle(rows.join(open_, "token", "left_semi").select("token", "rec"), "rest")
-    rest = rest.join(tagged.select("rec", "n", "comp", "bits"), "rec").select("token", "rec", "n", "comp", "bits")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    more = rest.repartition(parts, "token").sortWithinPartitions("token").mapInArrow(lambda it: _within(it, num, den), "a long, b long").distinct()
-    more = settle(more.join(stars, ["a", "b"], "left_anti").join(stars.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"), "more")
+    more = _more(df, live, stars, components(links), id_col, text_col, width, num, den)
     links = settle(links.unionByName(_links(more, df, id_col, text_col, width, num, den)), "all-links")
 
     comp = components(links)

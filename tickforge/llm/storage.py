@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -40,6 +41,15 @@ def discard(*tables: DataFrame) -> None:
             _delete(t.sparkSession, at)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more.
+
+    Its cleaner acts when the driver's heap is collected, which may be long after a large shuffle was last read.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def _delete(spark: SparkSession, at: str) -> None:
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(at)
