@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -34,11 +35,25 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow with batches of at most BATCH_ROWS rows."""
+    """mapInArrow with batches of at most BATCH_ROWS rows; memory that a partition freed goes back to the system."""
     conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(conf.get(key)) <= BATCH_ROWS:
         conf.set(key, str(BATCH_ROWS))
-    return df.mapInArrow(run, schema)
+
+    def trimmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return df.mapInArrow(trimmed, schema)
+
+
+def trim() -> None:
+    """Return freed memory; workers stay alive between partitions and would hold it."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
 
 
 def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES, rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
