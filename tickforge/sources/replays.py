@@ -28,7 +28,7 @@ def read_replays(spark: SparkSession, path: str) -> DataFrame:
 
     The codec follows from the name.  A file that is no replay gives a row with null columns and error set.
     """
-    text = spark.read.option("pathGlobFilter", "*.{json,gz,zst}").option("wholetext", "true").text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("doc"), F.lit(None).cast("string").alias("error"))
+    text = spark.read.option("pathGlobFilter", "*.{json,gz,zst}").text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("doc"), F.lit(None).cast("string").alias("error"))
     zipped = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select(F.col("path").alias("file"), "content")
 
     def members(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

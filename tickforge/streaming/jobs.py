@@ -27,7 +27,7 @@ def ingest(spark: SparkSession, source: str, out: str, checkpoint: str, cell_siz
             df.write.mode("overwrite").parquet(f"{out}/{name}/batch={number}")
         docs.unpersist()
 
-    files = spark.readStream.option("wholetext", "true").option("maxFilesPerTrigger", 1000).text(source).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("doc"))
+    files = spark.readStream.option("maxFilesPerTrigger", 1000).text(source, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("doc"))
     return files.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
