@@ -38,10 +38,12 @@ class ByteBpe:
     def __init__(self, ranks: dict[bytes, int], pattern: str, most_cached: int = 100_000):
         self.ranks, self.pattern, self.most_cached = ranks, regex.compile(pattern), most_cached
         self.token = {v: k for k, v in ranks.items()}
+        self.decimal = {i: str(i) for i in self.token}
         self.byte_id = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int32)
         self.n = max(ranks.values()) + 1
         self._build_pairs()
         self.cache: dict[str, tuple[int, str, bytes]] = {}
+        self.older: dict[str, tuple[int, str, bytes]] = {}
 
     def _build_pairs(self) -> None:
         """Open-addressing table: (left id, right id) -> merged id, for every split of a token into two tokens."""
@@ -116,27 +118,22 @@ class ByteBpe:
                 width = int(length.max())
                 ids, rank = ids[:, :width], rank[:, : max(width - 1, 1)]
                 row = np.arange(len(ids))
-            if width < 2:
-                continue
-            # close the gap right of the merged pair in every row, then look up the two pairs that changed
-            col = np.arange(ids.shape[1])
-            src = np.minimum(col + (col > best[:, None]), ids.shape[1] - 1)
-            ids = np.take_along_axis(ids, src, axis=1)
+            # every row loses the column right of its merged pair; then the two pairs that changed are looked up
+            keep = np.ones(ids.shape, dtype=bool)
+            keep[row, best + 1] = False
             ids[row, best] = low
-            length = length - 1
-            ids[row, length] = -1
-            pc = np.arange(rank.shape[1])
-            psrc = np.minimum(pc + (pc > best[:, None]), rank.shape[1] - 1)
-            rank = np.take_along_axis(rank, psrc, axis=1)
-            rank[:, -1] = np.where(length - 1 <= rank.shape[1] - 1, _NONE, rank[:, -1])
-            left = np.maximum(best - 1, 0)
-            has_left = best > 0
-            new_left = self._lookup(ids[row, left], ids[row, best])
-            rank[row[has_left], left[has_left]] = new_left[has_left]
-            nxt = np.minimum(best + 1, ids.shape[1] - 1)
-            new_right = self._lookup(ids[row, best], np.where(best + 1 < length, ids[row, nxt], -1))
-            inside = best < rank.shape[1]
-            rank[row[inside], best[inside]] = new_right[inside]
+            ids = ids[keep].reshape(len(ids), -1)
+            length -= 1
+            keep = np.ones(rank.shape, dtype=bool)
+            keep[row, best] = False
+            rank = rank[keep].reshape(len(ids), -1)
+            if ids.shape[1] == 1:
+                rank = np.full((len(ids), 1), _NONE, np.int32)
+                continue
+            left = np.flatnonzero(best > 0)
+            rank[left, best[left] - 1] = self._lookup(ids[left, best[left] - 1], low[left])
+            right = np.flatnonzero(best < rank.shape[1])
+            rank[right, best[right]] = self._lookup(low[right], ids[right, best[right] + 1])
 
     def encode_pieces(self, pieces: list[bytes], cells: int = 1 << 18) -> list[list[int]]:
         out: list = [None] * len(pieces)
@@ -164,14 +161,25 @@ class ByteBpe:
     def split(self, text: str) -> list[str]:
         return self.pattern.findall(text)
 
-    def learn(self, pieces: set[str]) -> None:
-        """Put (number of ids, their decimals, decoded bytes) of new pieces in the cache, which starts anew when full."""
-        new = [p for p in pieces if p not in self.cache]
-        if len(self.cache) + len(new) > self.most_cached:
-            self.cache.clear()
-            new = list(pieces)
+    def learn(self, pieces: set[str]) -> dict[str, tuple[int, str, bytes]]:
+        """(number of ids, their decimals, decoded bytes) of each piece.
+
+        What was needed lately is kept: two generations of at most most_cached pieces, the older of which goes when
+        the younger is full.
+        """
+        out, new = {}, []
+        for p in pieces:
+            got = self.cache.get(p) or self.older.get(p)
+            if got is None:
+                new.append(p)
+            else:
+                out[p] = got
         for p, ids in zip(new, self.encode_pieces([p.encode("utf-8") for p in new]), strict=True):
-            self.cache[p] = (len(ids), ",".join(map(str, ids)), self.decode(ids))
+            out[p] = (len(ids), ",".join([self.decimal[i] for i in ids]), self.decode(ids))
+        if len(self.cache) + len(out) > self.most_cached:
+            self.older, self.cache = self.cache, {}
+        self.cache.update(out)
+        return out
 
     def encode(self, text: str) -> list[int]:
         return [i for ids in self.encode_pieces([p.encode("utf-8") for p in self.split(text)]) for i in ids]
@@ -215,10 +223,10 @@ def bpe_digest(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", t
         for batch in batches:
             for part in slices(batch, "text"):
                 split = [bpe.split(t) if t else [] for t in part.column("text").to_pylist()]
-                bpe.learn({p for ps in split for p in ps})
+                known = bpe.learn({p for ps in split for p in ps})
                 count, sha, back = [], [], []
                 for ps in split:
-                    got = [bpe.cache[p] for p in ps]
+                    got = [known[p] for p in ps]
                     count.append(sum([g[0] for g in got]))
                     sha.append(hashlib.sha256(",".join([g[1] for g in got]).encode()).hexdigest())
                     back.append(hashlib.sha256(b"".join([g[2] for g in got])).hexdigest())
