@@ -220,17 +220,20 @@ def bpe_digest(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path, pattern)
-        for batch in batches:
-            for part in slices(batch, "text"):
-                split = [bpe.split(t) if t else [] for t in part.column("text").to_pylist()]
-                known = bpe.learn({p for ps in split for p in ps})
-                count, sha, back = [], [], []
-                for ps in split:
-                    got = [known[p] for p in ps]
-                    count.append(sum([g[0] for g in got]))
-                    sha.append(hashlib.sha256(",".join([g[1] for g in got]).encode()).hexdigest())
-                    back.append(hashlib.sha256(b"".join([g[2] for g in got])).hexdigest())
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(count, pa.int64()), pa.array(sha, pa.string()), pa.array(back, pa.string())], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        try:
+            for batch in batches:
+                for part in slices(batch, "text"):
+                    split = [bpe.split(t) if t else [] for t in part.column("text").to_pylist()]
+                    known = bpe.learn({p for ps in split for p in ps})
+                    count, sha, back = [], [], []
+                    for ps in split:
+                        got = [known[p] for p in ps]
+                        count.append(sum([g[0] for g in got]))
+                        sha.append(hashlib.sha256(",".join([g[1] for g in got]).encode()).hexdigest())
+                        back.append(hashlib.sha256(b"".join([g[2] for g in got])).hexdigest())
+                    yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(count, pa.int64()), pa.array(sha, pa.string()), pa.array(back, pa.string())], ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        finally:  # the worker lives on
+            bpe.cache, bpe.older = {}, {}
 
     kind = dict(df.dtypes)[id_col]
     return map_batches(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
