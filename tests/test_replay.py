@@ -150,7 +150,7 @@ def test_spawn_points(spark):
     [
         (C.duration, {"0:00:47": 47, "1:02:03.9": 3723, "2:30": 150, "1 day, 0:00:01": None, "": None, "x:y": None}),
         (C.timestamp_text, {"2026-05-09 15:51:32.887485": "2026-05-09T15:51:32.887485Z", "2026-05-09T17:51:32+02:00": "2026-05-09T15:51:32Z", "soon": None, None: None}),
-        (C.short_name, {"levels\\test\\prisoner\\prisoner": "prisoner", "a/b/": "b", "/": None}),
+        (C.short_name, {"levels\\east\\tower": "tower", "a/b/": "b", "/": None}),
         (C.boolean, {"Yes": True, "0": False, "1.0": None, " t ": True}),
         (C.nonnegative, {"5": 5, "5.0": 5, "5.5": None, "-1": None, "true": None, "nan": None, "1e3": 1000}),
         (C.slot, {"0": 0, "63.0": 63, "64": None, "1.5": None, "x": None}),
