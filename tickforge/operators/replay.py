@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tickforge.functions import coerce as C
+from tickforge.functions.sanitise import authoritative, known_mode, release_key
 
 # The names of screen parts by number of players of one machine.
 SCREEN_SLOTS = {1: ("full",), 2: ("top", "bottom"), 3: ("top", "bottom-left", "bottom-right"), 4: ("top-left", "top-right", "bottom-left", "bottom-right")}
@@ -186,8 +187,6 @@ def graph_players(players: DataFrame, host_slots: DataFrame, most: int = MOST_GR
 def games(ends: DataFrame, wins: DataFrame) -> DataFrame:
     """One row a game from its summary and both end ticks (text columns prefixed first_ and last_, is_full_game, game_ended, settings_mode, settings_name)."""
     pick = lambda c: F.coalesce(C.text(F.col(f"last_{c}")), C.text(F.col(f"first_{c}")))
-    from tickforge.functions.sanitise import authoritative, known_mode
-
     name = pick("map_name")
     done = F.coalesce(F.col("is_full_game"), F.lit(True)) | F.coalesce(F.col("game_ended"), F.lit(False))
     return ends.join(wins, "game_id", "left").select(
@@ -199,3 +198,26 @@ def games(ends: DataFrame, wins: DataFrame) -> DataFrame:
         C.timestamp_text(F.coalesce(C.text(F.col("recording_ended")), C.text(F.col("last_current_time")))).alias("ended_at"),
         C.duration(F.col("duration")).alias("duration_seconds"), "winning_team",
     )
+
+
+def release(ends: DataFrame) -> DataFrame:
+    """(game_id and the release evidence of the map: release key, cache and build), unknown or unsafe texts left out."""
+    safe = [authoritative(F.col(c)).alias(c) for c in ("cache_family", "cache_version_name", "build_version")]
+    return ends.select("game_id", release_key(F.col("game_release_key")).alias("game_release_key"), C.truncated(F.col("cache_version")).alias("cache_version"), *safe)
+
+
+def participant_facts(rows: DataFrame, contexts: DataFrame) -> DataFrame:
+    """(game_id, slot, key, value): what is known of a participant's context and streaks, as texts."""
+    j = rows.select("game_id", "slot", "max_kill_streak", F.col("multikills.double").alias("double_kills"), F.col("multikills.triple").alias("triple_kills"), F.col("multikills.more").alias("multikills_4_plus")).join(contexts, ["game_id", "slot"], "left")
+    names = ["is_host", "is_hostman", "machine_index", "controller_index", "screen_slot", "screen_layout", "max_kill_streak", "double_kills", "triple_kills", "multikills_4_plus"]
+    pairs = F.array(*[F.struct(F.lit(f"participant.{n}").alias("key"), F.col(n).cast("string").alias("value")) for n in names])
+    return j.select("game_id", "slot", F.inline(pairs)).where("value is not null")
+
+
+def documents(game_rows: DataFrame, people: DataFrame, teams: DataFrame, facts: DataFrame) -> DataFrame:
+    """(game_id, document): one JSON result a game with its participants and teams in order and its facts by key."""
+    p = people.groupBy("game_id").agg(F.sort_array(F.collect_list(F.struct("slot", *[c for c in people.columns if c not in ("game_id", "slot")]))).alias("participants"))
+    t = teams.groupBy("game_id").agg(F.sort_array(F.collect_list(F.struct("team", *[c for c in teams.columns if c not in ("game_id", "team")]))).alias("teams"))
+    f = facts.groupBy("game_id").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("key", "value")))).alias("facts"))
+    j = game_rows.join(p, "game_id", "left").join(t, "game_id", "left").join(f, "game_id", "left")
+    return j.select("game_id", F.to_json(F.struct(*[c for c in j.columns if c != "game_id"])).alias("document"))

@@ -109,3 +109,28 @@ def drop(spark: SparkSession, path: str) -> None:
     """Delete an output that failed or went stale."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def generated_at(manifests: DataFrame, scope: str, generation: int, now: Column) -> Column:
+    """The time that an earlier try of the generation has left, so that a retry writes the same; else now."""
+    r = manifests.where((F.col("scope_id") == scope) & (F.col("generation") == generation) & F.col("generated_at").isNotNull()).select("generated_at").first()
+    return F.lit(r["generated_at"]) if r else now
+
+
+def complete(manifests: DataFrame, scope: str, outputs: dict[str, tuple[int, str]], revision: int, current: int) -> DataFrame:
+    """Activate several outputs (kind: generation, hash) of a scope at once, or none: their manifests must be there with those hashes."""
+    here = {r["kind"]: (r["generation"], r["sha256"]) for r in manifests.where(F.col("scope_id") == scope).where("state <> 'superseded'").collect() if (r["generation"], r["sha256"]) == outputs.get(r["kind"])}
+    if revision != current:
+        raise ConflictError("stale_revision")
+    if set(here) != set(outputs):
+        raise ConflictError("incomplete_outputs")
+    mine = F.col("scope_id") == scope
+    now = F.lit(False)
+    for kind, (generation, _) in outputs.items():
+        now = now | ((F.col("kind") == kind) & (F.col("generation") == generation))
+    return manifests.withColumn("state", F.when(mine & now, "active").when(mine & (F.col("state") == "active") & F.col("kind").isin(*outputs), "superseded").otherwise(F.col("state")))
+
+
+def write_partitioned(df: DataFrame, root: str, by: tuple[str, ...] = ("upload_id", "generation")) -> None:
+    """Key layout of spatial artifacts: one folder for each upload and generation; only the folders written are replaced."""
+    df.write.option("partitionOverwriteMode", "dynamic").partitionBy(*by).mode("overwrite").parquet(root)

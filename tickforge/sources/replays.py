@@ -140,3 +140,97 @@ def objects(spark: SparkSession, path: str, prefix: str = "", suffix: str = "")
 def journal(rows: DataFrame, now: Column, days: int = 7) -> DataFrame:
     """Records of a change journal (at, ...) that have not expired."""
     return rows.where(F.col("at") > now - F.make_dt_interval(F.lit(days)))
+
+
+def digests(files: DataFrame) -> DataFrame:
+    """(path, length, sha256) of read files (path, content, length)."""
+    return files.select("path", "length", F.sha2("content", 256).alias("sha256"))
+
+
+def read_lines(spark: SparkSession, path: str, stamp: str = r"^(\S+)") -> DataFrame:
+    """(ts, message) of text logs; the time is what the pattern's group finds, null if it is none."""
+    rows = spark.read.text(path)
+    return rows.select(C.timestamp(F.regexp_extract("value", stamp, 1)).alias("ts"), F.col("value").alias("message"))
+
+
+def read_access_log(spark: SparkSession, path: str) -> DataFrame:
+    """The gateway's access log of JSON lines: all fields are texts, but for the time."""
+    return spark.read.schema(ACCESS_LOG).json(path)
+
+
+def _exploded(replays: DataFrame, path: str) -> DataFrame:
+    """(game_id, pos, key, v) of a VARIANT object or list found by a SQL expression."""
+    view = "_tickforge_docs"
+    replays.createOrReplaceTempView(view)
+    spark = replays.sparkSession
+    return spark.sql(f"SELECT game_id, e.pos, coalesce(e.key, cast(e.pos AS STRING)) AS key, e.value AS v FROM (SELECT game_id, {path} AS doc FROM {view}) d, LATERAL variant_explode(doc) e WHERE doc IS NOT NULL AND NOT is_variant_null(doc)")
+
+
+_MAPS = ("shots_by_weapon", "damage_to_player", "damage_from_player", "shots_by_tick", "kills_by_tick", "deaths_by_tick", "assists_by_tick", "streak_by_tick", "streak_counts_by_amount", "multikills_by_tick", "multikill_counts_by_amount")
+_SCALARS = ("damage_dealt", "damage_received", "camo_count", "overshield_count")
+
+
+def meta_players(replays: DataFrame, most: int = 64) -> DataFrame:
+    """(game_id, slot, scalars as text, maps of text) of the players under game_meta; the by-weapon and by-player maps keep their first entries."""
+    rows = _exploded(replays, "try_variant_get(game_meta, '$.players', 'variant')")
+    as_map = lambda n: F.try_variant_get("v", f"$.{n}", "map<string,string>")
+    first = lambda m: F.map_from_entries(F.slice(F.map_entries(m), 1, most))
+    maps = [(first(as_map(n)) if n in _MAPS[:3] else as_map(n)).alias(n) for n in _MAPS]
+    return rows.select("game_id", C.integer(F.col("key")).cast("int").alias("slot"), *[C.as_text(F.try_variant_get("v", f"$.{n}", "variant")).alias(n) for n in _SCALARS], *maps).where("slot is not null")
+
+
+def _network(replays: DataFrame) -> DataFrame:
+    """The network client: of the document if it is not empty, else of the first tick that has one."""
+    full = lambda v: F.schema_of_variant(v).startswith("OBJECT") & (F.schema_of_variant(v) != "OBJECT<>")
+    of_ticks = F.get(F.filter(F.transform("ticks", lambda t: t["network_game_client"]), lambda v: F.coalesce(full(v), F.lit(False))), F.lit(0))
+    return replays.withColumn("network", F.when(F.coalesce(full(F.col("network_game_client")), F.lit(False)), F.col("network_game_client")).otherwise(of_ticks))
+
+
+def network_players(replays: DataFrame) -> DataFrame:
+    """Rows for operators.replay.network_contexts."""
+    rows = _exploded(_network(replays), "try_variant_get(network, '$.network_game_data.network_players', 'variant')")
+    return rows.select("game_id", "pos", *[C.as_text(F.try_variant_get("v", f"$.{n}", "variant")).alias(n) for n in ("player_list_index", "machine_index", "controller_index")])
+
+
+def machines(replays: DataFrame) -> DataFrame:
+    """(game_id, machine) that recorded the game."""
+    return _network(replays).select("game_id", C.truncated(C.as_text(F.try_variant_get("network", "$.machine_index", "variant"))).cast("int").alias("machine")).where("machine is not null")
+
+
+def explicit_players(replays: DataFrame) -> DataFrame:
+    """Rows for operators.replay.explicit_contexts."""
+    rows = _exploded(replays, "try_variant_get(participant_context, '$.players', 'variant')")
+    names = ("slot_index", "player_list_index", "player_index", "machine_index", "controller_index", "is_host", "is_hostman", "screen_slot", "screen_layout")
+    return rows.select("game_id", "pos", "key", *[C.as_text(F.try_variant_get("v", f"$.{n}", "variant")).alias(n) for n in names])
+
+
+def game_ends(replays: DataFrame) -> DataFrame:
+    """One row a game: what operators.replay.games and graph_coverage take from the summary and both end ticks."""
+    first, last = F.get("ticks", F.lit(0)), F.when(F.size("ticks") > 0, F.element_at("ticks", -1))
+    t = replays.select("game_id", "summary", "gametype_settings", first.alias("f"), last.alias("l"))
+    text = lambda c: C.as_text(F.col(c))
+    setting = lambda n: C.as_text(F.try_variant_get("gametype_settings", f"$.{n}", "variant"))
+    filled = lambda v: F.coalesce(F.schema_of_variant(v).startswith("OBJECT") & (F.schema_of_variant(v) != "OBJECT<>"), F.lit(False))
+    info = F.when(filled(F.col("l.map_info")), F.col("l.map_info")).otherwise(F.col("f.map_info"))
+    about = lambda n: C.as_text(F.try_variant_get(info, f"$.{n}", "variant"))
+
+    def time(at: str, n: str) -> Column:
+        return C.as_text(F.try_variant_get(f"{at}.game_time_info", f"$.{n}", "variant"))
+
+    from tickforge.operators.replay import recorded_seconds
+
+    tick = {at: C.nonnegative(time(at, "game_time")) for at in "fl"}
+    secs = {at: recorded_seconds([time(at, n) for n in ("elapsed_seconds", "time_seconds", "game_time_seconds", "current_game_time_seconds")], tick[at], time(at, "real_time_elapsed")) for at in "fl"}
+    return t.select(
+        "game_id", F.col("l.multiplayer_map_name").alias("last_map_name"), F.col("f.multiplayer_map_name").alias("first_map_name"), text("l.game_type").alias("last_game_type"), text("f.game_type").alias("first_game_type"), text("l.variant").alias("last_variant"), text("f.variant").alias("first_variant"),
+        setting("mode").alias("settings_mode"), setting("name").alias("settings_name"), F.col("summary.is_full_game").alias("is_full_game"), F.col("l.game_ended_this_tick").alias("game_ended"), F.col("summary.recording_started").alias("recording_started"), F.col("f.start_time").alias("first_start_time"),
+        F.col("summary.recording_ended").alias("recording_ended"), F.col("l.current_time").alias("last_current_time"), F.col("summary.game_duration_ingame").alias("duration"), tick["f"].alias("first_tick"), tick["l"].alias("last_tick"), secs["f"].alias("first_seconds"), secs["l"].alias("last_seconds"),
+        about("game_release_key").alias("game_release_key"), about("cache_family").alias("cache_family"), about("cache_version").alias("cache_version"), about("cache_version_name").alias("cache_version_name"), about("build_version").alias("build_version"),
+    )
+
+
+def spawns(replays: DataFrame) -> DataFrame:
+    """(game_id, spawns): the document's list, else that of the first tick with one."""
+    is_list = lambda v: F.coalesce(F.schema_of_variant(v).startswith("ARRAY"), F.lit(False))
+    of_ticks = F.get(F.filter(F.transform("ticks", lambda t: t["spawns"]), is_list), F.lit(0))
+    return replays.select("game_id", F.when(is_list(F.col("spawns")), F.col("spawns")).otherwise(of_ticks).alias("spawns")).where("spawns is not null")

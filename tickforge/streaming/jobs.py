@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -10,11 +13,11 @@ from tickforge.operators import occupancy as O
 from tickforge.sources import replays as S
 
 
-def ingest(spark: SparkSession, source: str, out: str, checkpoint: str, cell_size: float = 0.5) -> StreamingQuery:
+def ingest(spark: SparkSession, source: str, out: str, checkpoint: str, cell_size: float = 0.5, archive: str | None = None) -> StreamingQuery:
     """Read new replay files (JSON, .gz, .zst), bin their samples and append voxels, discards and dead letters.
 
     Every table carries the batch id and is written under it, so that a batch that is tried again replaces itself.
-    A bad file becomes a dead letter and fails nothing else.
+    A bad file becomes a dead letter and fails nothing else.  With archive, files that were read are moved there.
     """
 
     def write(batch: DataFrame, number: int) -> None:
@@ -27,7 +30,10 @@ def ingest(spark: SparkSession, source: str, out: str, checkpoint: str, cell_siz
             df.write.mode("overwrite").parquet(f"{out}/{name}/batch={number}")
         docs.unpersist()
 
-    files = spark.readStream.option("maxFilesPerTrigger", 1000).text(source, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("doc"))
+    reader = spark.readStream.option("maxFilesPerTrigger", 1000)
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    files = reader.text(source, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("doc"))
     return files.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
@@ -44,9 +50,12 @@ def metric_windows(points: DataFrame, period: int, late: str = "10 minutes") ->
     return points.withWatermark("ts", late).groupBy("metric", w.alias("w")).agg(F.count("*").alias("points"), F.sum("value").alias("sum"), F.max("value").alias("maximum")).select("metric", F.col("w.start").alias("start"), "points", "sum", "maximum")
 
 
-def maintain(spark: SparkSession, dirty: DataFrame, roll_up, most: int = 4) -> list[str]:
-    """Roll up the first dirty scopes (scope_id, source_revision, built_revision) by name; returns those that were done."""
-    todo = dirty.where("built_revision is null or built_revision < source_revision").orderBy("scope_id").limit(most).collect()
-    for r in todo:
+def maintain(spark: SparkSession, dirty: DataFrame, roll_up: Callable[[str, int], None], most: int = 4, seconds: float = 810.0) -> list[str]:
+    """Roll up the first dirty scopes (scope_id, source_revision, built_revision) by name while time is left; returns those done."""
+    began, done = time.monotonic(), []
+    for r in dirty.where("built_revision is null or built_revision < source_revision").orderBy("scope_id").limit(most).collect():
+        if time.monotonic() - began > seconds:
+            break
         roll_up(r["scope_id"], r["source_revision"])
-    return [r["scope_id"] for r in todo]
+        done.append(r["scope_id"])
+    return done
