@@ -57,11 +57,11 @@ def groups(cell_rows: DataFrame) -> DataFrame:
     return cell_rows.groupBy("scope_id", "metric", "team_key").agg(F.count("*").alias("cells"), F.sum("value").alias("value")).withColumns({"label": team_label(k), "position": team_order(k)})
 
 
-def faults(cell_rows: DataFrame) -> DataFrame:
+def faults(cell_rows: DataFrame, low: int = PLANE_LOW, high: int = PLANE_HIGH, most_cells: int = MOST_CELLS, most_groups: int = MOST_GROUPS) -> DataFrame:
     """(scope_id, code) of scopes that pass a limit: plane bounds, cell value, cells of a group, groups of a metric."""
-    out = cell_rows.where(~F.col("px").between(PLANE_LOW, PLANE_HIGH) | ~F.col("py").between(PLANE_LOW, PLANE_HIGH)).select("scope_id", F.lit("invalid_input_contract").alias("code"))
+    out = cell_rows.where(~F.col("px").between(low, high) | ~F.col("py").between(low, high)).select("scope_id", F.lit("invalid_input_contract").alias("code"))
     over = cell_rows.where(F.col("value") > ROLLUP_LIMIT).select("scope_id", F.lit("rollup_counter_overflow").alias("code"))
     g = groups(cell_rows)
-    many = g.where(F.col("cells") > MOST_CELLS).select("scope_id", F.lit("rollup_cell_limit_exceeded").alias("code"))
-    wide = g.groupBy("scope_id", "metric").count().where(F.col("count") > MOST_GROUPS).select("scope_id", F.lit("rollup_group_limit_exceeded").alias("code"))
+    many = g.where(F.col("cells") > most_cells).select("scope_id", F.lit("rollup_cell_limit_exceeded").alias("code"))
+    wide = g.groupBy("scope_id", "metric").count().where(F.col("count") > most_groups).select("scope_id", F.lit("rollup_group_limit_exceeded").alias("code"))
     return out.unionByName(over).unionByName(many).unionByName(wide).distinct()

@@ -141,9 +141,9 @@ def heatmap_top_cells(spark, d):
     return c.withColumn("_r", F.row_number().over(w)).where("_r <= 10").drop("_r")
 
 
-@query("heatmap_faults", f"WITH {_SCOPE} SELECT DISTINCT scope_id, 'invalid_input_contract' AS code FROM hc WHERE px NOT BETWEEN -2000001 AND 2000000 OR py NOT BETWEEN -2000001 AND 2000000")
+@query("heatmap_faults", f"WITH {_SCOPE} SELECT DISTINCT scope_id, 'invalid_input_contract' AS code FROM hc WHERE px NOT BETWEEN -60 AND 60 OR py NOT BETWEEN -60 AND 60 UNION ALL SELECT DISTINCT scope_id, 'rollup_cell_limit_exceeded' FROM hc GROUP BY scope_id, metric, team_key HAVING count(*) > 40 UNION ALL SELECT DISTINCT scope_id, 'rollup_group_limit_exceeded' FROM (SELECT DISTINCT scope_id, metric, team_key FROM hc) GROUP BY scope_id, metric HAVING count(*) > 2")
 def heatmap_faults(spark, d):
-    return heatmap.faults(heatmap.cells(_heat(spark, d)[0]))
+    return heatmap.faults(heatmap.cells(_heat(spark, d)[0]), -60, 60, 40, 2)  # limits that the small tables pass
 
 
 # ---- regions ----
@@ -323,7 +323,7 @@ pa AS (SELECT la.game_id, la.slot, CAST(CASE WHEN la.team_given THEN {_INT.forma
   CASE WHEN coalesce({_INT.format('la.score')}, 0) <> 0 THEN {_INT.format('la.score')} ELSE {_INT.format('la.ctf_score')} END AS score,
   coalesce(k % 11, 0) AS shots_fired, k / 2.0::DOUBLE AS damage_dealt, CASE WHEN k IS NOT NULL THEN 7.5::DOUBLE END AS damage_taken,
   CASE WHEN k IS NOT NULL THEN greatest(k % 4, 2, CASE WHEN k % 2 > 0 THEN 5 ELSE 0 END) END AS max_kill_streak,
-  CASE k % 3 WHEN 0 THEN k % 5 WHEN 1 THEN 2 END AS double_kills, CASE k % 3 WHEN 0 THEN 1 WHEN 1 THEN 1 END AS triple_kills, CASE k % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 END AS multikills_4_plus
+  CAST(CASE k % 3 WHEN 0 THEN k % 5 WHEN 1 THEN 2 END AS BIGINT) AS double_kills, CAST(CASE k % 3 WHEN 0 THEN 1 WHEN 1 THEN 1 END AS BIGINT) AS triple_kills, CAST(CASE k % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 END AS BIGINT) AS multikills_4_plus
   FROM la LEFT JOIN fi ON fi.game_id = la.game_id AND fi.slot = la.slot LEFT JOIN me ON me.game_id = la.game_id AND me.slot = la.slot),
 tm AS (SELECT game_id, team, sum(coalesce(score, 0))::BIGINT AS score, count(*) AS players, sum(kills)::BIGINT AS kills, sum(deaths)::BIGINT AS deaths FROM pa WHERE team IS NOT NULL GROUP BY 1, 2)"""
 _TEAM = "CASE WHEN team = 0 THEN 'Red' WHEN team = 1 THEN 'Blue' WHEN team IS NOT NULL THEN 'Team ' || team END AS team_name"
