@@ -62,6 +62,7 @@ def run(spark, texts):
 def test_random_corpora(spark, seed, monkeypatch):
     if seed == 2:
         monkeypatch.setattr(jaccard, "FEW_IDS", -1)
+        monkeypatch.setattr(jaccard, "GROUP", 2)
     texts = corpus(seed)
     assert run(spark, texts) == brute(texts)
 
@@ -86,3 +87,20 @@ def test_links_connect_every_component(spark):
         assert r.overlap == len(s[r.a] & s[r.b]) and 100 * r.overlap >= 75 * len(s[r.a] | s[r.b])
         near[r.a].add(r.b)
     assert {r.class_id for r in docs.where("class_id <> component_id").collect()} <= set(near) | {b for x in near.values() for b in x}
+
+
+def test_hot_passages_and_chains(spark, monkeypatch):
+    """Texts made mostly of one passage, and near copies of near copies that their hub does not reach."""
+    monkeypatch.setattr(jaccard, "GROUP", 5)
+    rng = random.Random(8)
+    vocabulary = [f"w{k}" for k in range(400)]
+    passage = [rng.choice(vocabulary) for _ in range(60)]
+    texts = {i: " ".join([rng.choice(vocabulary) for _ in range(rng.randint(4, 30))] + passage) for i in range(30)}
+    chain = [rng.choice(vocabulary) for _ in range(100)]
+    for i in range(100, 118):
+        for _ in range(2):
+            chain[rng.randrange(100)] = rng.choice(vocabulary)
+        texts[i] = " ".join(chain)
+    want = brute(texts)
+    assert len({c for _, c in want.values()}) > 3
+    assert run(spark, texts) == want

@@ -33,6 +33,8 @@ SMALL = 256
 BITS = 2048
 #: Tables of ids are broadcast up to this many rows (32 MB), and joined by a shuffle beyond.
 FEW_IDS = 4_000_000
+#: Documents of a shingle that one task compares with as many others; larger groups are cut into pairs of such blocks.
+GROUP = 1024
 _HALF = np.uint64(1 << 63)
 _SALT = np.int64(0x5851F42D4C957F2D)
 
@@ -112,8 +114,11 @@ def _bitmaps(texts: DataFrame, width: int) -> DataFrame:
 
 
 def _within(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
-    """Rows (token, rec, n, comp, bits) in token order -> pairs of different components that may be similar enough."""
-    token, parts = None, []
+    """Rows (token, p, q, block, rec, n, comp, bits) in order of (token, p, q) -> pairs that may be similar enough.
+
+    A pair is of different components, and of the blocks p and q.
+    """
+    key, parts = None, []
 
     def pairs(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(rows)
@@ -122,6 +127,8 @@ def _within(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[p
             return
         order = np.argsort(n, kind="stable")
         rec, n, comp = rec[order], n[order], comp[order]
+        block = t.column("block").to_numpy()[order]
+        one = t.column("p")[0] == t.column("q")[0]
         bits = np.frombuffer(b"".join(t.column("bits").to_pylist()), dtype=np.uint64).reshape(len(rec), -1)[order]
         step = max(1, (1 << 21) // max(1, bits.shape[1] * len(rec)))
         for a in range(0, len(rec), step):
@@ -132,18 +139,20 @@ def _within(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[p
             far = np.bitwise_count(bits[a:b, None, :] ^ bits[None, a:end, :]).sum(axis=2, dtype=np.int64)
             both = n[a:b, None] + n[None, a:end]
             ok = (far * (den + num) <= both * (den - num)) & (comp[a:b, None] != comp[None, a:end]) & (np.arange(a, b)[:, None] < np.arange(a, end)[None, :])
+            if not one:
+                ok &= block[a:b, None] != block[None, a:end]
             i, j = np.nonzero(ok)
             if len(i):
                 yield pa.RecordBatch.from_arrays([pa.array(rec[a + i] >> 1, pa.int64()), pa.array(rec[a + j] >> 1, pa.int64())], ["a", "b"])
 
     for batch in batches:
-        values = batch.column("token").to_numpy()
-        cuts = [0, *(np.flatnonzero(np.diff(values)) + 1).tolist(), len(values)] if len(values) else []
+        values = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("token", "p", "q")], axis=1)
+        cuts = [0, *(np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1).tolist(), len(values)] if len(values) else []
         for a, b in zip(cuts, cuts[1:], strict=False):
-            if parts and values[a] != token:
+            if parts and tuple(values[a]) != key:
                 yield from pairs(parts)
                 parts = []
-            token = values[a]
+            key = tuple(values[a])
             parts.append(batch.slice(a, b - a))
     if parts:
         yield from pairs(parts)
@@ -212,13 +221,14 @@ def _more(df: DataFrame, live: DataFrame, stars: DataFrame, comp: DataFrame, id_
     """Pairs (a, b) that share such a shingle, are in different components so far, and that no bitmap rules out."""
     tagged = live.withColumn("id", F.shiftright("rec", 1)).join(comp.withColumnRenamed("component", "comp"), "id", "left").select("rec", "id", "n", F.coalesce("comp", "id").alias("comp"), "t")
     rows = tagged.select("rec", "comp", F.explode("t").alias("token"))
-    open_ = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
-    rest = settle(rows.join(open_, "token", "left_semi").select("token", "rec"), "rest")
+    open_ = rows.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.ceil(F.count("*") / GROUP).cast("int").alias("blocks")).where("lo < hi").select("token", "blocks")
+    rest = settle(rows.join(settle(open_, "open"), "token").select("token", "rec", "blocks"), "rest")
     ids = small(rest.select(F.shiftright("rec", 1).alias("id")).distinct())
     bits = settle(_bitmaps(_texts(df, id_col, text_col).join(ids, "id", "left_semi"), width).dropDuplicates(["id", "n"]), "bitmaps")
-    rest = rest.join(tagged.select("rec", "id", "n", "comp").distinct(), "rec").join(bits, ["id", "n"]).select("token", "rec", "n", "comp", "bits")
+    rest = rest.join(tagged.select("rec", "id", "n", "comp").distinct(), "rec").join(bits, ["id", "n"]).withColumn("block", F.pmod(F.xxhash64("rec"), F.col("blocks")).cast("int"))
+    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select("token", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "rec", "n", "comp", "bits")
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = map_batches(rest.repartition(parts, "token").sortWithinPartitions("token"), lambda it: _within(it, num, den), "a long, b long").distinct()
+    pairs = map_batches(rest.repartition(parts, "token", "p", "q").sortWithinPartitions("token", "p", "q"), lambda it: _within(it, num, den), "a long, b long").distinct()
     known = stars.select("a", "b").union(stars.select("b", "a"))
     return settle(pairs.join(known, ["a", "b"], "left_anti"), "more")
 
