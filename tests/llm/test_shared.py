@@ -1,5 +1,9 @@
+import os
 import random
 import re
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -10,6 +14,7 @@ from tickforge.llm.bytesops import shingles, slices, utf8, words
 from tickforge.llm.components import components
 from tickforge.llm.storage import discard, settle, shared_folder
 
+ROOT = Path(__file__).resolve().parents[2]
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SEEN: dict[int, str] = {}
 
@@ -74,3 +79,17 @@ def test_settled_tables_can_be_discarded(spark):
     assert t.count() == 5 and shared_folder(spark)
     discard(t, spark.range(1))
     assert spark.range(1).count() == 1
+
+
+def test_workers_find_the_package_from_any_folder(tmp_path):
+    code = (
+        f"import sys; sys.path.insert(0, {str(ROOT)!r})\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "import public_tokenizers as P\n"
+        "from tickforge.llm.bpe import bpe_digest\n"
+        "print(bpe_digest(s.createDataFrame([(1, 'two words')], 'doc_id long, text string'), P.path('byte_bpe_multi_50k.tiktoken'), P.PATTERN).first().n_tokens)"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True)
+    assert out.returncode == 0 and int(out.stdout.split()[-1]) > 0, out.stderr[-2000:]

@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 import ctypes
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+import tickforge
 
 SLICE_BYTES = 1 << 20
 #: Rows that go between the JVM and Python at once, so that a batch of long texts stays small on both sides.
@@ -24,6 +30,7 @@ _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, *range(9, 14)]] = True
 _powers: dict[str, np.ndarray] = {}
+_shipped: set[str] = set()
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -36,6 +43,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """mapInArrow with batches of at most BATCH_ROWS rows; memory that a partition freed goes back to the system."""
+    ship(df.sparkSession)
     conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(conf.get(key)) <= BATCH_ROWS:
         conf.set(key, str(BATCH_ROWS))
@@ -49,6 +57,25 @@ def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterato
     return df.mapInArrow(trimmed, schema)
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors if their Python would not find it where the driver does.
+
+    It is found if its folder is in PYTHONPATH or is the working folder, as the driver and workers share those
+    (or packages were submitted with the job); else a zip of it is served by the driver, once for each application.
+    """
+    root = Path(tickforge.__file__).resolve().parent.parent
+    known = [Path(p or ".").resolve() for p in (os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep))]
+    app = spark.sparkContext.applicationId
+    if root in known or app in _shipped:
+        return
+    at = Path(tempfile.mkdtemp(prefix="tickforge-"), "tickforge.zip")
+    with zipfile.ZipFile(at, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted((root / "tickforge").rglob("*.py")):
+            z.write(p, p.relative_to(root))
+    spark.sparkContext.addPyFile(str(at))
+    _shipped.add(app)
+
+
 def trim() -> None:
     """Return freed memory; workers stay alive between partitions and would hold it."""
     pa.default_memory_pool().release_unused()

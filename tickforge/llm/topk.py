@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tickforge.llm.bytesops import map_batches
 from tickforge.llm.storage import settle
 
 CANDIDATES, QUERIES, DIMS = 4096, 1024, 8
@@ -100,5 +101,5 @@ def top_k(df: DataFrame, queries: Column, k: int = 10, scale: int = 1024, id_col
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(qid, [len(s) for _, s in found]), pa.int64()), pa.array(np.concatenate([v for v, _ in found]), pa.int64()), pa.array(score, pa.int64())], ["query_id", "vec_id", "score"])
 
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    best = pairs.mapInArrow(run, out).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    best = map_batches(pairs, run, out).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return best.select("query_id", "rank", F.col("vec_id").alias(id_col), "score")
