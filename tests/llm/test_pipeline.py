@@ -116,3 +116,30 @@ def test_run_is_the_stages(spark, stages):
     at, _, seen = stages
     assert Counter(map(tuple, corpus_pipeline.run(spark, at).collect())) == Counter(map(tuple, seen[4][1].collect()))
     assert math.isfinite(corpus_pipeline.LEAST_SURE)
+
+
+def through(spark, at, rows, extra=""):
+    docs = spark.createDataFrame(rows, SCHEMA + extra)
+    counts = []
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, at).write.parquet(f"{at}/x{k}")
+        docs = spark.read.parquet(f"{at}/x{k}")
+        assert k == 4 or docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        counts.append(docs.count())
+    return docs, counts
+
+
+def test_empty_tables(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert through(spark, str(tmp_path), [])[1] == [0] * 5
+
+
+def test_nulls_long_texts_and_clashing_columns(spark, tmp_path):
+    spark.createDataFrame([(None, None, None), (1, None, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    clash = ", score double, size long, lang_pred string, _text string, taken int, component_id long, n_tokens string"
+    more = (0.5, 1, "x", "y", 2, 3, "z")
+    words = "one two three four five six seven eight nine ten"
+    rows = [(None, None, None, None, None), (1, words, None, None, None), (2, words, "en", "a", 3), (2, words, "en", "a", 3), (3, "", "en", "a", 0), (4, "long " * 100_000, "en", "b", None), (None, "some other words", "en", None, 1), (5, "1 2 3", "fr", "b", 5)]
+    docs, counts = through(spark, str(tmp_path), [r + more for r in rows], clash)
+    assert counts[:3] == [5, 5, 3]
+    assert {r.doc_id for r in docs.collect()} <= {None, 1, 4} and docs.where("decoded_sha256 is null").count() == 0

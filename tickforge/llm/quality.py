@@ -57,7 +57,7 @@ class ByteCnn:
             "v": r.normal(0, 0.6, (HIDDEN, FILTERS)), "d": np.full(HIDDEN, 0.05), "w": r.normal(0, 0.5, HIDDEN), "b": np.zeros(1),
         }
         self.p = {k: x.astype(np.float32) for k, x in self.p.items()}
-        self.shift = 0.0
+        self.shift, self.trained = 0.0, False
 
     def tables(self) -> tuple[np.ndarray, np.ndarray]:
         """Weights of every byte pair at either half of a window."""
@@ -167,6 +167,7 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows = sorted(((r["y"], r["i"], r["text"] or "") for r in texts.join(F.broadcast(picked), "i").select("y", "i", "text").collect()), key=repr)
     model = ByteCnn()
     y = np.array([r[0] for r in rows], dtype=np.float32)
+    model.trained = len(y) > 0
     if len(set(y.tolist())) == 2:
         model.fit([r[2].encode("utf-8") for r in rows], y)
         model.shift = float(np.log(counts[1] / counts[0]) - np.log((y == 1).sum() / (y == 0).sum()))
