@@ -1,4 +1,9 @@
-"""Corpus pipeline: language ID, quality, near-duplicates, mixing and BPE, each over all that the stage before kept."""
+"""Corpus pipeline: language ID, quality, near-duplicates, mixing and BPE, each over all that the stage before kept.
+
+Every stage takes documents with nulls in any column, empty and long texts, repeated rows and columns beside those of
+documents, whatever their names, which it leaves out; an empty table gives an empty one.  What a stage does with such
+rows is in its docstring.
+"""
 
 from __future__ import annotations
 
@@ -16,19 +21,32 @@ LEAST_QUALITY = 0.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents with a recognised language."""
+    """Keep documents with a recognised language.
+
+    Null texts and texts without a letter go; a null language only teaches nothing.  Repeated rows stay or go together.
+    Where no language can be learnt, no document stays.
+    """
     found = langid.predict(docs.select(*COLUMNS), langid.train(docs), "text", tuple(COLUMNS))
     return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SURE)).select(*COLUMNS)
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents that the quality network takes for good."""
+    """Keep documents that the quality network takes for good.
+
+    Null and empty texts have the score of a text without a chunk; without labels the network is untrained and nothing
+    is rejected.  Repeated rows stay or go together.
+    """
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    if not model.trained:
+        return docs.select(*COLUMNS)
     return quality.score(docs.select(*COLUMNS), model, "text", tuple(COLUMNS)).where(F.col("score") >= LEAST_QUALITY).select(*COLUMNS)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of near duplicates, once; null ids are in no group."""
+    """Keep the document with the smallest id of each group of near duplicates, once.
+
+    Null ids are in no group, nor are null and blank texts: all of them stay.  Of rows with the same id one stays.
+    """
     groups, _ = jaccard.jaccard_join(docs)
     gone = jaccard.small(groups.where("doc_id <> component_id").select("doc_id").distinct())
     kept = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
@@ -39,12 +57,16 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Take each document as often as the mix of sources asks for."""
+    """Take each document as often as the mix of sources asks for.
+
+    A null source is a source, last in order.  Null and blank texts have no words and are not taken.  Repeated rows are
+    documents of their own.
+    """
     return mixing.copies(mixing.mix(docs.select(*COLUMNS)), COLUMNS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Encode and decode every text."""
+    """Encode and decode every text; a null text counts as empty, repeated rows give a row each."""
     return bpe.bpe_digest(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
