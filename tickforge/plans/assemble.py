@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 
 from tickforge.functions import sanitise as S
@@ -10,24 +12,28 @@ from tickforge.operators import replay as R
 from tickforge.sources import replays as D
 
 
-def tables(docs: DataFrame, cell_size: float = 0.5, slot_cells: int = O.SLOT_CELLS, game_cells: int = O.GAME_CELLS) -> dict[str, DataFrame]:
+def tables(docs: DataFrame, cell_size: float = 0.5, slot_cells: int = O.SLOT_CELLS, game_cells: int = O.GAME_CELLS, hold: Callable[[DataFrame], DataFrame] = DataFrame.persist) -> dict[str, DataFrame]:
     """All tables of replay documents (D.read_replays), by name.
 
     Slots of host machine players are excluded after the caps, so they use them up; the excluded samples count as
     `hostman`.  Files with an error make no row but in dead_letters.
+
+    The typed projections that several tables start from (players, contexts, samples, voxels) go through `hold`, so the
+    documents are parsed once for each of those and not for each table.  The default caches them; for large inputs give
+    a function that writes a table and reads it back.
     """
     good = D.game_key(docs.where("error is null"))
-    players, ends = D.end_players(good), D.game_ends(good)
-    contexts = R.merge_contexts(R.network_contexts(D.network_players(good)), R.tick_contexts(players, D.machines(good)), R.explicit_contexts(D.explicit_players(good)))
+    players, ends = hold(D.end_players(good)), hold(D.game_ends(good))
+    contexts = hold(R.merge_contexts(R.network_contexts(D.network_players(good)), R.tick_contexts(players, D.machines(good)), R.explicit_contexts(D.explicit_players(good))))
     hosts = R.hosts(contexts)
-    people = R.participants(players, D.meta_players(good))
-    teams = R.team_stats(people)
-    games = R.games(ends, R.winners(teams)).join(R.release(ends), "game_id").join(R.host_style(people.select("game_id", "slot").join(contexts, ["game_id", "slot"], "left")), "game_id", "left")
-    classified = O.classify(D.player_samples(good))
-    capped = O.capped(O.voxels(classified, cell_size), slot_cells, game_cells)
+    people = hold(R.participants(players, D.meta_players(good)))
+    teams = hold(R.team_stats(people))
+    games = hold(R.games(ends, R.winners(teams)).join(R.release(ends), "game_id").join(R.host_style(people.select("game_id", "slot").join(contexts, ["game_id", "slot"], "left")), "game_id", "left"))
+    classified = O.classify(hold(D.player_samples(good)))
+    capped = hold(O.capped(O.voxels(classified, cell_size), slot_cells, game_cells))
     kept, gone = O.exclude_slots(capped.where("cap is null").drop("cap"), hosts)
     voxels = O.saturated(kept).drop("first")
-    facts = S.facts(S.flatten(good, "gametype_settings"))
+    facts = hold(S.facts(S.flatten(good, "gametype_settings")))
     return {
         "games": games,
         "participants": people,
