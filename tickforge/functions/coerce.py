@@ -15,7 +15,7 @@ COUNTER_LIMIT = 2_147_483_647
 ROLLUP_LIMIT = 2**53 - 1
 TICKS_PER_SECOND = 30
 
-_BLANK = r"^[\s]+|[\s]+$"
+_BLANK = " \t\n\r\x0b\x0c"
 
 
 def as_text(v: Column) -> Column:
@@ -26,7 +26,7 @@ def as_text(v: Column) -> Column:
 
 def text(c: Column) -> Column:
     """Trimmed text; empty is null."""
-    return F.nullif(F.regexp_replace(c.cast("string"), _BLANK, ""), F.lit(""))
+    return F.nullif(F.btrim(c.cast("string"), F.lit(_BLANK)), F.lit(""))
 
 
 def integer(c: Column) -> Column:
@@ -35,14 +35,13 @@ def integer(c: Column) -> Column:
 
 
 def truncated(c: Column) -> Column:
-    """The integer part of any finite number."""
-    d = number(c)
-    return F.when(d.isNotNull() & ~F.isnan(d) & (F.abs(d) < 9.2e18), F.when(d < 0, F.ceil(d)).otherwise(F.floor(d)).cast("bigint"))
+    """The integer part of any number that 64 bits hold."""
+    return number(c).try_cast("bigint")
 
 
 def number(c: Column) -> Column:
     """A double; NaN and infinities are accepted."""
-    return text(c).try_cast("double")
+    return c.cast("string").try_cast("double")
 
 
 def boolean(c: Column) -> Column:
