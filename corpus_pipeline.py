@@ -15,7 +15,7 @@ from tickforge.llm import bpe, jaccard, langid, mixing, quality
 from tickforge.llm.storage import settle
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: A document whose language is less sure than this is rejected, as is one without a letter.
+#: A document whose language is less sure than this is rejected (0 in no learned language), as is one without a letter.
 LEAST_SURE = 0.25
 LEAST_QUALITY = 0.5
 
@@ -24,7 +24,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents with a recognised language.
 
     Null texts and texts without a letter go; a null language only teaches nothing.  Repeated rows stay or go together.
-    Where no language can be learnt, no document stays.
+    Texts in no learned language go too, where enough rows teach.  Where no language can be learnt, no document stays.
     """
     found = langid.predict(docs.select(*COLUMNS), langid.train(docs), "text", tuple(COLUMNS))
     return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SURE)).select(*COLUMNS)

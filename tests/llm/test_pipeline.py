@@ -143,3 +143,19 @@ def test_nulls_long_texts_and_clashing_columns(spark, tmp_path):
     docs, counts = through(spark, str(tmp_path), [r + more for r in rows], clash)
     assert counts[:3] == [5, 5, 3]
     assert {r.doc_id for r in docs.collect()} <= {None, 1, 4} and docs.where("decoded_sha256 is null").count() == 0
+
+
+def test_language_drops_unlearned_languages(spark, tmp_path):
+    rows, _ = corpus()
+    strange = [
+        "Mieleni minun tekevi, aivoni ajattelevi lähteäni laulamahan, saa'ani sanelemahan, sukuvirttä suoltamahan",
+        "Litwo, ojczyzno moja, ty jesteś jak zdrowie, ile cię trzeba cenić, ten tylko się dowie, kto cię stracił",
+        "Все счастливые семьи похожи друг на друга, каждая несчастливая семья несчастлива по-своему",
+        "道可道非常道名可名非常名无名天地之始有名万物之母",
+        "xq zvkj qwpt bnmz lkjh gfdq wrtz plmk zxcv qqjw hhgk vbtz mnpq " * 50,
+        "if (!arr[i]) { free(buf); return -ENOMEM; } memcpy(dst, src, sizeof(struct node*));",
+    ]
+    rows = [r for r in rows if any(c.isalpha() for c in r[1] or "")] + [(4000, "x", None, "a", 1), (4001, "le", None, "a", 2), (4002, "with his", None, "a", 8)]
+    planted = [(3000 + k, t, None, "a", len(t)) for k, t in enumerate(strange)]
+    kept = corpus_pipeline.language(spark, spark.createDataFrame(rows + planted, SCHEMA), str(tmp_path))
+    assert Counter(map(tuple, kept.collect())) == Counter(rows)

@@ -3,6 +3,9 @@
 Texts are hashed byte trigrams with letters lower-cased and all else as spaces; each vector holds square roots of
 relative counts, so its length is 1.  Families are the languages whose mean vectors are most alike, merged by average
 linkage until ceil(sqrt(languages)) are left.  All classifiers are linear SVMs with squared hinge loss.
+
+The SVMs only tell learned languages apart; of two families one always wins.  Whether a text is in any of them is told
+by the mean log density of its trigrams under the learned languages, held against what learned rows have.
 """
 
 from __future__ import annotations
@@ -24,6 +27,10 @@ CELLS = 4096
 VECTORS = 256
 #: Most training rows in all; they are shared out equally among the languages.
 MOST_TRAIN = 1600
+#: With fewer learned rows than this no text is strange.
+LEAST_LEARNT = 40
+#: A text is strange beyond this many times the 99 % quantile of learned rows' deviations.
+BEYOND = 4.0
 
 _FOLD = np.full(256, 32, dtype=np.uint8)
 _FOLD[97:123] = np.arange(97, 123)
@@ -79,8 +86,48 @@ def families(means: dict[str, np.ndarray]) -> list[list[str]]:
     return groups
 
 
+def densities(x: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Log density of each cell, relative to even ones, in the language that has most of it."""
+    sums = [(x[label == k] ** 2).sum(axis=0, dtype=np.float64) for k in sorted(set(label))]
+    return np.log(np.max([(n + 1 / CELLS) / (n.sum() + 1) for n in sums], axis=0) * CELLS)
+
+
+class Known:
+    """How far a text's trigrams are from those of learned rows, and beyond what it is strange.
+
+    The mean log density of a text deviates by the spread among texts and by chance, which falls with the number of its
+    different trigrams.  The deviations of learned rows are taken under the densities of the other half of them.
+    """
+
+    def __init__(self, x: np.ndarray, label: np.ndarray):
+        self.limit = None
+        if len(x) < LEAST_LEARNT:
+            return
+        half, mean, share = np.arange(len(x)) % 2 == 0, np.zeros(len(x)), np.zeros(len(x))
+        for own in (half, ~half):
+            mean[own], share[own] = self._mean(x[own], densities(x[~own], label[~own]))
+        self.log = densities(x, label)
+        q = (x**2).mean(axis=0, dtype=np.float64)
+        self.chance = float((q * (self.log - q @ self.log) ** 2).sum())
+        self.usual = float(np.median(mean))
+        self.spread = max(0.05, 1.4826 * float(np.median(np.abs(mean - self.usual))))
+        self.limit = BEYOND * max(1.0, float(np.quantile(self._off(mean, share), 0.99)))
+
+    @staticmethod
+    def _mean(x: np.ndarray, log: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        p = x**2
+        return p @ log, (p**2).sum(axis=1)
+
+    def _off(self, mean: np.ndarray, share: np.ndarray) -> np.ndarray:
+        return np.where(share > 0, (self.usual - mean) / np.sqrt(self.spread**2 + self.chance * share), 0.0)
+
+    def strange(self, x: np.ndarray) -> np.ndarray:
+        """True for vectors in no learned language; texts without a trigram are not strange."""
+        return np.zeros(len(x), bool) if self.limit is None else self._off(*self._mean(x, self.log)) > self.limit
+
+
 class LanguageModel:
-    """Families, their one-versus-rest SVMs, and one-versus-one SVMs in each family."""
+    """Families, their one-versus-rest SVMs, one-versus-one SVMs in each family, and what is known at all."""
 
     def __init__(self, x: np.ndarray, y: list[str]):
         label = np.array(y, dtype=object)
@@ -93,9 +140,10 @@ class LanguageModel:
             for a, b in combinations(g, 2):
                 rows = np.isin(label, [a, b])
                 self.pairs[a, b] = linear_svm(x[rows], side([a])[rows])
+        self.known = Known(x, label)
 
     def predict(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Language and confidence (0 to 1) of each vector; ties go to the earlier family and language."""
+        """Language and confidence (0 to 1, 0 if strange) of each vector; ties go to the earlier family and language."""
         rows = len(x)
         lang, score = np.full(rows, "und", dtype=object), np.zeros(rows)
         if not self.langs:
@@ -119,6 +167,7 @@ class LanguageModel:
             best = (votes + trust / (len(g) + 1.0)).argmax(axis=1)
             lang[at] = np.array(g, dtype=object)[best]
             score[at] = sure[at] * (trust[np.arange(len(at)), best] / (len(g) - 1) if len(g) > 1 else 1.0)
+        score[self.known.strange(x)] = 0.0
         return lang, score
 
 
@@ -162,7 +211,8 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     """Return (id, held_out, lang_pred, score) of every row, learnt from its rows that are not held out.
 
     Nulls: a null text, or one without a letter, is `und` with score 0; null languages teach nothing; a null id is
-    hashed as the empty string.  A table that teaches no language gives `und` everywhere.  Whole texts count, however
+    hashed as the empty string.  A table that teaches no language gives `und` everywhere.  A text in no learned language
+    has the nearest one with score 0, if at least LEAST_LEARNT rows teach.  Whole texts count, however
     long.  Repeated rows give equal rows; empty tables empty ones; other columns are ignored, whatever their names.
     """
     rows = df.select(F.col(id_col).alias(id_col), held_out(id_col).alias("held_out"), F.col(text_col).alias("_t"))
