@@ -45,15 +45,22 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each group of near duplicates, once.
 
-    Null ids are in no group, nor are null and blank texts: all of them stay.  Of rows with the same id one stays.
+    Null ids are in no group, nor are null and blank texts: all of them stay.  Of rows with the same id and text one
+    stays.  Rows with the same id and different texts are documents of their own; in a group, the digest of the text
+    decides between those of one id.
     """
-    groups, _ = jaccard.jaccard_join(docs)
-    gone = jaccard.small(groups.where("doc_id <> component_id").select("doc_id").distinct())
-    kept = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
-    again = kept.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    if again:
-        kept = kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
-    return kept
+    docs = docs.select(*COLUMNS)
+    if not docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
+        groups, _ = jaccard.jaccard_join(docs)
+        gone = jaccard.small(groups.where("doc_id <> component_id").select("doc_id").distinct())
+        return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    rows = docs.where("doc_id is not null").dropDuplicates(["doc_id", "text"])
+    keyed = settle(rows.withColumn("_key", F.monotonically_increasing_id()), "keyed")
+    groups, _ = jaccard.jaccard_join(keyed, "_key")
+    names = keyed.select(F.struct("doc_id", F.sha2("text", 256).alias("digest"), "_key").alias("name"), "_key").join(groups.select("_key", "component_id"), "_key")
+    first = names.groupBy("component_id").agg(F.min("name").alias("first"))
+    gone = jaccard.small(names.join(first, "component_id").where("_key <> first._key").select("_key"))
+    return keyed.join(gone, "_key", "left_anti").select(*COLUMNS).unionByName(docs.where("doc_id is null"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -159,3 +159,14 @@ def test_language_drops_unlearned_languages(spark, tmp_path):
     planted = [(3000 + k, t, None, "a", len(t)) for k, t in enumerate(strange)]
     kept = corpus_pipeline.language(spark, spark.createDataFrame(rows + planted, SCHEMA), str(tmp_path))
     assert Counter(map(tuple, kept.collect())) == Counter(rows)
+
+
+def test_rows_that_share_an_id_but_not_a_text(spark, tmp_path):
+    r = random.Random(3)
+    a, b, c, d = (" ".join(f"{w}{r.randint(0, 999)}" for _ in range(60)) for w in "abcd")
+    near = d.replace(d.split()[30], "changed")
+    rows = [(1, a), (7, a), (7, b), (7, b), (7, c), (9, c), (5, d), (5, near), (None, a), (8, None), (8, None), (8, "")]
+    kept = corpus_pipeline.distinct(spark, spark.createDataFrame([(i, t, "en", "a", len(t or "")) for i, t in rows], SCHEMA), str(tmp_path))
+    got = Counter((k.doc_id, k.text) for k in kept.collect())
+    one = min(d, near, key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    assert got == Counter([(1, a), (7, b), (7, c), (5, one), (None, a), (8, None), (8, "")])
