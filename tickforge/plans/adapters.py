@@ -100,6 +100,9 @@ UNION ALL SELECT doc_id, 1, CASE doc_id % 10 WHEN 0 THEN ' Unknown <7> ' WHEN 1
   WHEN 5 THEN substr(text, 1, 300) WHEN 6 THEN ' CTF ' WHEN 7 THEN NULL WHEN 8 THEN source ELSE 'key=https://x' END FROM documents
 """
 
+#: Every document's whole text.
+DOCUMENT_TEXTS = "SELECT doc_id AS id, 1 AS k, text AS t FROM documents"
+
 MANIFESTS = """
 SELECT CAST(o_custkey AS STRING_) AS scope_id, o_orderkey AS generation, o_orderdate AS committed_at, CASE WHEN o_orderstatus = 'F' THEN 'superseded' ELSE 'active' END AS state FROM orders
 """

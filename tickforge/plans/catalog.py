@@ -419,8 +419,19 @@ _UNSAFE = r"""(lower({0}) LIKE '%http://%' OR lower({0}) LIKE '%https://%' OR lo
 @query("settings_texts", rf"""WITH x AS (SELECT id, k, left(nullif(regexp_replace(t, '^\s+|\s+$', '', 'g'), ''), 256) AS t FROM ({A.TEXTS})), y AS (SELECT id, k, CASE WHEN NOT {_UNSAFE.format('t')} THEN t END AS safe, t FROM x)
 SELECT id, k, safe, CASE WHEN NOT regexp_matches(safe, '^(unknown|unknown\s*<[^>]+>|unknown\s+[-+]?(0x[0-9a-f]+|[0-9]+))$', 'i') THEN safe END AS authoritative, CASE WHEN lower(t) IN ('ctf', 'slayer', 'oddball', 'king', 'race') THEN lower(t) END AS mode, CASE WHEN regexp_matches(t, '^[a-z0-9][a-z0-9_]*$') THEN t END AS release_key FROM y""")
 def settings_texts(spark, d):
+    return _texts(spark, d, A.TEXTS)
+
+
+def _texts(spark, d, sql):
     t = F.col("t")
-    return adapt(spark, d, A.TEXTS).select("id", "k", S.safe_text(t).alias("safe"), S.authoritative(t).alias("authoritative"), S.known_mode(t).alias("mode"), S.release_key(t).alias("release_key"))
+    return adapt(spark, d, sql).select("id", "k", S.safe_text(t).alias("safe"), S.authoritative(t).alias("authoritative"), S.known_mode(t).alias("mode"), S.release_key(t).alias("release_key"))
+
+
+@query("settings_document_texts", rf"""WITH w AS (SELECT id, k, nullif(regexp_replace(t, '^\s+|\s+$', '', 'g'), '') AS u FROM ({A.DOCUMENT_TEXTS})), x AS (SELECT *, left(u, 256) AS t FROM w), y AS (SELECT id, k, CASE WHEN NOT {_UNSAFE.format('t')} THEN t END AS safe, u FROM x)
+SELECT id, k, safe, CASE WHEN NOT regexp_matches(safe, '^(unknown|unknown\s*<[^>]+>|unknown\s+[-+]?(0x[0-9a-f]+|[0-9]+))$', 'i') THEN safe END AS authoritative, CASE WHEN lower(u) IN ('ctf', 'slayer', 'oddball', 'king', 'race') THEN lower(u) END AS mode, CASE WHEN regexp_matches(u, '^[a-z0-9][a-z0-9_]*$') THEN u END AS release_key FROM y""")
+def settings_document_texts(spark, d):
+    """Whole texts of all documents; only safe and authoritative texts are cut."""
+    return _texts(spark, d, A.DOCUMENT_TEXTS)
 
 
 _KEYS = "SELECT doc_id AS id, CASE WHEN doc_id % 5 = 0 THEN 'Ghost_Mode' WHEN doc_id % 5 = 1 THEN concat(' Kill-In Order ', CAST(doc_id % 3 AS STRING_)) WHEN doc_id % 5 = 2 THEN 'score_limit' WHEN doc_id % 5 = 3 THEN '_9lives' ELSE concat('a', source) END AS t FROM documents"
