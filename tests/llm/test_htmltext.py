@@ -51,3 +51,11 @@ def test_rows(spark):
 def test_block_cuts():
     assert [t for t, _ in blocks("a<b>b</b>c<p>d  e\n f<br>g</p><!-- x > y -->h 1 < 2 <a title='>'>i</a>")] == ["abc", "d e f", "g", "h 1 < 2 i"]
     assert blocks("<script>alert('<p>x</p>')") == []
+
+
+def test_names_do_not_hide_an_article():
+    text = "<p>One two three four five six seven eight nine ten.</p><p>More of the same story, told at some length here.</p>"
+    want = "One two three four five six seven eight nine ten.\nMore of the same story, told at some length here."
+    for open_, shut in (("<article class='post tag-news'>", "</article>"), ("<main class='has-sidebar'>", "</main>"), ("<article class='share social'>", "</article>"), ("<div class='post tag-news'>", "</div>"), ("<div id=page class='has-sidebar'><article>", "</article></div>")):
+        assert main_text(f"{open_}{text}{shut}<div class='site-footer'>Far away words</div>") == want
+    assert main_text(f"<article><div class='entry-header'><h1>A title</h1></div>{text}<div class='post-comments'><p>Some reply to it</p></div></article>") == f"A title\n{want}"

@@ -31,10 +31,29 @@ _AWAY = {"nav", "aside", "footer", "form", "dialog", "menu"}
 _CONTENT = {"article", "main"}
 _AWAY_NAMES = re.compile(r"(?:^|[\s_-])(?:ad|ads|advert\w*|banner|sponsor\w*|promo\w*|sidebar|side|menu|nav\w*|breadcrumbs?|footer|foot|header|masthead|cookies?|consent|notice|popup|modal|newsletter|subscribe|share|social|related|recommend\w*|comments?|respond|replies|disqus|pagination|pager|widget|toolbar|login|search|tags?|legal|copyright)(?:$|[\s_-])", re.I)
 _CONTENT_NAMES = re.compile(r"(?:^|[\s_-])(?:article|post|entry|story|main|content|body|text)(?:$|[\s_-])", re.I)
+_STATE_NAMES = re.compile(r"(?:has|is|with|without|no)[_-]", re.I)
+_HEADER = re.compile(r"(?<![^_-])header(?![^_-])", re.I)
 
 FEATURES = ("words", "links", "away", "inside", "words_before", "links_before", "words_after", "links_after", "heading", "content")
 
 
+def _away_name(given: str) -> bool:
+    """Whether a class, id or role word sets an element away; part of a name counts less than all of it.
+
+    Parts do not count in names of states (has-sidebar) and beside a whole name of content (post tag-news), nor does
+    the header of a content name (entry-header).
+    """
+    names = given.split()
+    content = any(_CONTENT_NAMES.fullmatch(n) for n in names)
+    for n in names:
+        if _AWAY_NAMES.fullmatch(n):
+            return True
+        own = _HEADER.sub("", n) if _CONTENT_NAMES.search(n) else n
+        if not content and not _STATE_NAMES.match(n) and _AWAY_NAMES.search(own):
+            return True
+    return False
+
+
 def blocks(page: str) -> list[tuple[str, list[float]]]:
     """The page's text blocks in order, each with its FEATURES.
 
@@ -113,7 +132,7 @@ def blocks(page: str) -> list[tuple[str, list[float]]]:
         if m.group(3):
             given = " ".join("".join(x) for x in _NAMES.findall(m.group(3)))
             if given and kind >= 0 and name not in ("html", "body"):
-                kind = -1 if _AWAY_NAMES.search(given) else 1 if kind or _CONTENT_NAMES.search(given) else 0
+                kind = -1 if name not in _CONTENT and _away_name(given) else 1 if kind or _CONTENT_NAMES.search(given) else 0
         stack.append((name, kind))
         away += kind < 0
         inside += kind > 0
@@ -155,6 +174,8 @@ def _labelled_pages() -> list[str]:
         f"<div>{link(4, 1)}</div><div><h1><m>{_w(3)}</m></h1>{body}<p><m>{_w(9)}</m></p></div>",
         f"<article><p><m>{_w(18)}</m></p><p><m>{_w(2)}</m></p></article>",
         f"<p><m>{_w(40)}</m></p><p><m>{_w(21)}</m></p>",
+        f"<article class='post tag-news social'><div class='entry-header'><h1><m>{_w(6)}</m></h1></div>{body}</article><div class='site-footer'>{_w(9)}</div>",
+        f"<main class='has-sidebar'><h1><m>{_w(4)}</m></h1>{body}</main><div class=sidebar><p>{_w(20)}</p></div>",
         f"<article><p><m>{_w(30)}</m></p><blockquote><m>{_w(12)}</m></blockquote></article><div>{_w(4)}</div>",
         f"<div>{_w(3)}</div><article><p><m>{_w(30)}</m></p><p><m>{link(1, 2)} {_w(2)}</m></p></article><p>{link(1, 2)}</p>",
     ]
