@@ -1,12 +1,13 @@
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from itertools import combinations
 
+import numpy as np
 import pytest
 
 from tickforge.llm import jaccard
-from tickforge.llm.jaccard import jaccard_join
+from tickforge.llm.jaccard import Frequent, jaccard_join
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -104,3 +105,31 @@ def test_hot_passages_and_chains(spark, monkeypatch):
     want = brute(texts)
     assert len({c for _, c in want.values()}) > 3
     assert run(spark, texts) == want
+
+
+def test_sets_with_too_few_shingles_in_the_low_half(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SMALL", 16)
+    monkeypatch.setattr(jaccard, "_HALF", np.uint64((1 << 64) // 4))
+    texts = corpus(5)
+    assert run(spark, texts) == brute(texts)
+
+
+def test_frequent_shingles_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "FREQUENT", 3000)
+    monkeypatch.setattr(jaccard, "TOKENS", 50)
+    texts = corpus(6)
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert jaccard._often(jaccard.shingle_sets(rows, "doc_id", "text", 5)).count() > 20
+    assert run(spark, texts) == brute(texts)
+
+
+def test_frequent_tokens_are_never_missed():
+    rng = np.random.default_rng(4)
+    often, true, sets = Frequent(most=300), Counter(), 2000
+    for _ in range(sets):
+        s = np.unique(np.concatenate([np.flatnonzero(rng.random(20) < 0.1), rng.integers(100, 1 << 40, 40)])).astype(np.uint64)
+        often.add(s)
+        true.update(s.tolist())
+    token, count = often.found(50)
+    assert {t for t, n in true.items() if n > sets / 50} <= set(token.tolist())
+    assert len(often.token) <= 300 and all(c <= true[t] for t, c in zip(token.tolist(), count.tolist(), strict=True))

@@ -31,8 +31,12 @@ FRAGMENTS = 4
 #: Sets of at most this size are indexed whole; the low half of a larger one holds over a quarter of it.
 SMALL = 256
 BITS = 2048
-#: Tables of ids are broadcast up to this many rows (32 MB), and joined by a shuffle beyond.
-FEW_IDS = 4_000_000
+#: Tables of ids are broadcast up to this many rows (about 25 MB as a hashed relation), and joined by a shuffle beyond.
+FEW_IDS = 500_000
+#: Tokens that are indexed, or counted, at once.
+TOKENS = 1 << 18
+#: A shingle that more than 1 / FREQUENT of all rows hold is spread over SPREAD groups when shingles are counted.
+FREQUENT, SPREAD = 128, 1024
 #: Documents of a shingle that one task compares with as many others; larger groups are cut into pairs of such blocks.
 GROUP = 1024
 _HALF = np.uint64(1 << 63)
@@ -44,20 +48,66 @@ def _bitmap(tokens: np.ndarray) -> bytes:
     return np.packbits(np.bincount((tokens & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS).astype(np.uint8) & 1).tobytes()
 
 
+class Frequent:
+    """Counts of tokens in bounded memory: all that more than a share of the sets hold are among those kept.
+
+    Where too many are held, the rarest go; `missed` is how often, at most, one that went or is held was not counted.
+    """
+
+    def __init__(self, most: int = 2 * TOKENS):
+        self.most, self.missed, self.sets, self.waiting = most, 0, 0, 0
+        self.parts: list[np.ndarray] = []
+        self.token, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def add(self, tokens: np.ndarray) -> None:
+        self.sets += 1
+        self.parts.append(tokens)
+        self.waiting += len(tokens)
+        if self.waiting >= self.most:
+            self._merge()
+
+    def _merge(self) -> None:
+        token, count = np.unique(np.concatenate([np.zeros(0, np.uint64), *self.parts]), return_counts=True)
+        self.parts, self.waiting = [], 0
+        every, place = np.unique(np.concatenate([self.token, token]), return_inverse=True)
+        total = np.bincount(place, weights=np.concatenate([self.count, count]), minlength=len(every)).astype(np.int64)
+        if len(every) > self.most:
+            cut = max(1, int(np.partition(total, len(total) // 2)[len(total) // 2]))
+            every, total = every[total > cut], total[total > cut]
+            self.missed += cut
+        self.token, self.count = every, total
+
+    def found(self, share: int) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens that may be in more than 1 / share of the sets, and their counts."""
+        self._merge()
+        keep = (self.count + self.missed > self.sets / share) & (self.count > 1)
+        return self.token[keep], self.count[keep]
+
+
 def shingle_sets(df: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(id, n, f1, f2, half): size, 128-bit digest and count in the low half of each row's set."""
+    """(id, n, f1, f2, half): size, 128-bit digest and count in the low half of each row's set.
+
+    Beside these, shingles that many rows of a partition hold: n is less than 0, how many rows; f1 is the shingle.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = Frequent()
         for batch in batches:
             for part in slices(batch, "text"):
                 rows = []
                 for s in shingles(*words(*utf8(part.column("text"))), width):
+                    often.add(s)
                     with np.errstate(over="ignore"):
                         f1 = int(np.sum(s, dtype=np.uint64).astype(np.int64))
                         f2 = int(np.sum((s ^ (s >> np.uint64(29))) * (s | np.uint64(1)), dtype=np.uint64).astype(np.int64))
                     rows.append((len(s), f1, f2, int(np.searchsorted(s, _HALF))))
                 columns = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([part.column("id"), *[pa.array(c, pa.int64()) for c in columns]], ["id", "n", "f1", "f2", "half"])
+        token, count = often.found(2 * FREQUENT)
+        for a in range(0, len(token), TOKENS):
+            t, c = token[a : a + TOKENS].view(np.int64), count[a : a + TOKENS]
+            none = pa.nulls(len(t), pa.int64())
+            yield pa.RecordBatch.from_arrays([none, pa.array(-c, pa.int64()), pa.array(t, pa.int64()), none, none], ["id", "n", "f1", "f2", "half"])
 
     return map_batches(_texts(df, id_col, text_col), run, "id long, n long, f1 long, f2 long, half long")
 
@@ -67,36 +117,43 @@ def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _postings(texts: DataFrame, width: int, top: int) -> DataFrame:
-    """(token, rec, more): the indexed tokens of each set; those that meet within a batch are one row, with more ids.
+    """(token, rec, more): the indexed tokens of each set; those that meet within TOKENS of them are one row, with more ids.
 
     rec is 2 id for the whole set (up to top) and 2 id + 1 for the low half (above SMALL); tokens of either are kept apart.
     """
 
+    def packed(tokens: list[np.ndarray], recs: list[tuple[int, int]]) -> pa.RecordBatch:
+        token = np.concatenate(tokens)
+        rec = np.repeat(np.array([r for r, _ in recs], dtype=np.int64), [n for _, n in recs])
+        order = np.argsort(token, kind="stable")
+        token, rec = token[order], rec[order]
+        first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+        count = np.diff(np.append(first, len(token)))
+        single = count == 1
+        loff = np.zeros(len(first) + 1, dtype=np.int32)
+        np.cumsum(np.where(single, 0, count), out=loff[1:])
+        lists = pa.ListArray.from_arrays(pa.array(loff), pa.array(rec[np.repeat(~single, count)], pa.int64()), mask=pa.array(single))
+        return pa.RecordBatch.from_arrays([pa.array(token[first], pa.int64()), pa.array(rec[first], pa.int64(), mask=~single), lists], ["token", "rec", "more"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens, recs = [], []
+            tokens, recs, held = [], [], 0
             for part in slices(batch, "text"):
                 for i, s in zip(part.column("id").to_pylist(), shingles(*words(*utf8(part.column("text"))), width), strict=True):
                     if len(s) <= top:
                         tokens.append(s.view(np.int64) ^ _SALT)
                         recs.append((2 * i, len(s)))
+                        held += len(s)
                     if len(s) > SMALL:
-                        low = s[: np.searchsorted(s, _HALF)].view(np.int64)
+                        low = s[: np.searchsorted(s, _HALF)].view(np.int64).copy()
                         tokens.append(low)
                         recs.append((2 * i + 1, len(low)))
-            token = np.concatenate(tokens) if tokens else np.zeros(0, np.int64)
-            if not len(token):
-                continue
-            rec = np.repeat(np.array([r for r, _ in recs], dtype=np.int64), [n for _, n in recs])
-            order = np.argsort(token, kind="stable")
-            token, rec = token[order], rec[order]
-            first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-            count = np.diff(np.append(first, len(token)))
-            single = count == 1
-            loff = np.zeros(len(first) + 1, dtype=np.int32)
-            np.cumsum(np.where(single, 0, count), out=loff[1:])
-            lists = pa.ListArray.from_arrays(pa.array(loff), pa.array(rec[np.repeat(~single, count)], pa.int64()), mask=pa.array(single))
-            yield pa.RecordBatch.from_arrays([pa.array(token[first], pa.int64()), pa.array(rec[first], pa.int64(), mask=~single), lists], ["token", "rec", "more"])
+                        held += len(low)
+                    if held >= TOKENS:
+                        yield packed(tokens, recs)
+                        tokens, recs, held = [], [], 0
+            if held:
+                yield packed(tokens, recs)
 
     return map_batches(texts, run, "token long, rec long, more array<long>")
 
@@ -196,21 +253,37 @@ def _links(pairs: DataFrame, df: DataFrame, id_col: str, text_col: str, width: i
     return links
 
 
-def _live(texts: DataFrame, full: DataFrame, members: DataFrame, width: int, num: int, den: int) -> DataFrame:
+def _often(sets: DataFrame) -> DataFrame:
+    """(token, many): shingles, as both indexes have them, that over 1 / FREQUENT of all rows hold, by what was counted.
+
+    Each such shingle is in that share of the sets, so there are at most FREQUENT times the mean size of a set.
+    """
+    rows = sets.where("n >= 0").count()
+    seen = sets.where("n < 0").groupBy("f1").agg(F.sum(-F.col("n")).alias("many")).where(F.col("many") > rows / FREQUENT)
+    other = F.col("f1").bitwiseXOR(F.lit(int(_SALT)).cast("long"))
+    return small(seen.select(F.explode(F.array("f1", other)).alias("token"), "many").groupBy("token").agg(F.max("many").alias("many")))
+
+
+def _live(texts: DataFrame, full: DataFrame, often: DataFrame, members: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """(rec, n, odd, t): of each set that may have a partner, the rarest shingles t by which it is found.
 
-    odd is its share of shingles that no other set holds, in thousandths.
+    odd is its share of shingles that no other set holds, in thousandths.  Frequent shingles are known beforehand, with
+    their counts, so their documents need not meet; any one order of the shingles serves, if all sets keep to it.
     """
-    top = SMALL * den // num
+    miss = F.floor(F.col("n") * (den - num) / den).cast("long")
+    # the low half must reach beyond what may miss; sets in which chance has it otherwise, and all that may be like them, are indexed whole
+    weak = full.where((F.col("n") > SMALL) & (F.col("half") <= miss)).agg(F.max("n")).first()[0] or 0
+    top = max(SMALL, weak) * den // num
     copies = small(members.where("id <> class_id").select("id").distinct())
     kept = full.join(copies, "id", "left_anti")
     posted = F.when(F.col("more").isNull(), 1).otherwise(F.size("more"))
-    met = _postings(texts.join(copies, "id", "left_anti"), width, top).withColumn("df", F.sum(posted).over(Window.partitionBy("token"))).where("df > 1")
+    posts = _postings(texts.join(copies, "id", "left_anti"), width, top).join(often, "token", "left")
+    posts = posts.withColumn("salt", F.when(F.col("many").isNull(), 0).otherwise(F.pmod(F.xxhash64(F.coalesce("rec", F.get("more", F.lit(0)))), F.lit(SPREAD))).cast("int"))
+    met = posts.withColumn("df", F.coalesce("many", F.sum(posted).over(Window.partitionBy("token", "salt")))).where("df > 1")
     met = met.select("token", "df", F.explode(F.when(F.col("more").isNull(), F.array("rec")).otherwise(F.col("more"))).alias("rec"))
     shared = met.groupBy("rec").agg(F.collect_set(F.struct("df", "token")).alias("t"))
     whole = kept.where(f"n <= {top}").select((F.col("id") * 2).alias("rec"), "n", F.col("n").alias("have"))
     low = kept.where(f"n > {SMALL}").select((F.col("id") * 2 + 1).alias("rec"), "n", F.col("half").alias("have"))
-    miss = F.floor(F.col("n") * (den - num) / den).cast("long")
     own = F.col("have") - F.size("t")
     prefix = shared.join(whole.unionByName(low).distinct(), "rec").withColumn("own", own).withColumn("take", (miss + 1 - F.col("own")).cast("int")).where("take > 0")
     first = F.transform(F.slice(F.sort_array("t"), F.lit(1), F.col("take")), lambda x: x["token"])
@@ -251,7 +324,7 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     full = sets.where("n > 0 and id is not null")
     classes = settle(full.groupBy("f1", "f2", "n").agg(F.min("id").alias("class_id")), "classes")  # as a table, so that a join with a hot class can be split
     members = settle(full.select("id", "n", "f1", "f2").join(classes, ["f1", "f2", "n"]).select("id", "n", "class_id").distinct(), "members")
-    live = _live(_texts(df, id_col, text_col).where("id is not null"), full, members, width, num, den)
+    live = _live(_texts(df, id_col, text_col).where("id is not null"), full, _often(sets), members, width, num, den)
     release(spark)
 
     rows = live.select("rec", "n", "odd", F.explode("t").alias("token"))
@@ -267,6 +340,6 @@ def jaccard_join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     comp = components(links)
     found = members.join(comp.select(F.col("id").alias("class_id"), F.col("component").alias("c")), "class_id", "left").select("id", "n", "class_id", F.coalesce("c", "class_id").alias("component_id"))
-    docs = sets.select("id", "n").join(found.withColumnRenamed("n", "m").withColumnRenamed("id", "i"), (F.col("id") == F.col("i")) & (F.col("n") == F.col("m")), "left")
+    docs = sets.where("n >= 0").select("id", "n").join(found.withColumnRenamed("n", "m").withColumnRenamed("id", "i"), (F.col("id") == F.col("i")) & (F.col("n") == F.col("m")), "left")
     docs = docs.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("class_id", "id").alias("class_id"), F.coalesce("component_id", "id").alias("component_id"))
     return docs, links

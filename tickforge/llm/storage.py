@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import gc
+import re
 import tempfile
 import uuid
 
@@ -13,9 +14,11 @@ _written: list[tuple[SparkSession, str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one only where the setting is unset (local tests)."""
+    """The folder in spark.checkpoint.dir; a temporary one only where the setting is unset and all runs in one process (tests)."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
         at = tempfile.mkdtemp(prefix="tickforge-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
