@@ -7,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tickforge.llm import mixing
 from tickforge.llm.mixing import copies, mix, route, targets
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -106,3 +107,10 @@ def test_empty(spark):
     assert mix(df).count() == 0
     assert mix(spark.createDataFrame([(1, None, "a")], df.schema)).select("taken", "target").first() == (0, 0.0)
     assert mix(df.withColumn("target", F.lit(1))).columns.count("target") == 1
+
+
+def test_rows_with_one_source_go_through_the_flow(spark, monkeypatch):
+    ran, keep = [], mixing._ssp
+    monkeypatch.setattr(mixing, "_ssp", lambda *a: ran.append(a[1]) or keep(*a))
+    mix(spark.createDataFrame([(1, "a b", "x"), (2, "c", "y")], "doc_id long, text string, source string")).collect()
+    assert sorted(ran) == [["x"], ["y"]]

@@ -76,9 +76,6 @@ def route(capacity: dict[frozenset, int], quota: dict, costs: tuple[int, ...]) -
                     seen.add(q)
                     todo.append(q)
         sources = sorted({s for p in part for s in p}, key=repr)
-        if len(part) == 1 and len(sources) == 1:
-            flow[part[0], sources[0]] = min(capacity[part[0]] * len(costs), quota[sources[0]])
-            continue
         _ssp(sorted(part, key=repr), sources, capacity, quota, costs, flow)
     return {k: v for k, v in flow.items() if v}
 
