@@ -1,4 +1,7 @@
 import hashlib
+import random
+import string
+import time
 
 import public_tokenizers as P
 import tiktoken
@@ -43,3 +46,24 @@ def test_small_cache_stays_right():
         pieces = bpe.split(t)
         known = bpe.learn(set(pieces))
         assert ",".join(known[p][1] for p in pieces) == ",".join(map(str, REFERENCE.encode_ordinary(t)))
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.one_of(st.text("abcx", min_size=1, max_size=200), st.text("aAe ti\n", min_size=1, max_size=80), st.text(min_size=1, max_size=60)))
+def test_long_pieces_round_by_round(piece):
+    bpe = load(PATH, P.PATTERN)
+    assert bpe._merge_long(piece.encode()) == REFERENCE._core_bpe.encode_single_piece(piece.encode())
+
+
+def test_very_long_pieces():
+    bpe = load(PATH, P.PATTERN)
+    r = random.Random(3)
+    letters = "".join(r.choice(string.ascii_letters) for _ in range(1 << 20))
+    for text in ("x" * 300_000, "ab" * 100_000, "the" * 50_000, letters):
+        pieces = bpe.split(text)
+        began = time.thread_time()
+        ids = bpe.encode(text)
+        took = time.thread_time() - began
+        print(len(text), len(pieces), max(map(len, pieces)), took)
+        assert ids == REFERENCE.encode_ordinary(text) and bpe.decode(ids).decode() == text
+        assert took < 60

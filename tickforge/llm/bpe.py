@@ -2,6 +2,8 @@
 
 Every distinct piece of the split pattern is a row of a matrix of token ids.  In each round every row merges its
 leftmost pair of least rank, found by a hashed pair lookup, and finished rows and emptied columns are compacted away.
+A very long piece has a matrix of one row, in which a round takes not only the leftmost pair of least rank but all of
+that rank up to the first whose merge would bring a lesser one about; merging these one by one gives the same.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ from pyspark.sql import functions as F
 from tickforge.llm.bytesops import map_batches, slices
 
 _NONE = np.int32(np.iinfo(np.int32).max)
+#: Pieces of more bytes than this have a matrix of their own.
+LONG = 4096
 _loaded: dict[tuple[str, str], "ByteBpe"] = {}
 
 
@@ -32,7 +36,8 @@ class ByteBpe:
     """Encoder and decoder for one rank table.
 
     encode_pieces(pieces) returns a list of id lists.  A piece that is a token itself is that one id.  Pieces of any
-    length are accepted; a row of n bytes takes at most n - 1 rounds.
+    length are accepted; a row of n bytes takes at most n - 1 rounds, one of more than LONG bytes about as many as there
+    are different tokens in it, so that time is near linear in its length.
     """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, most_cached: int = 100_000):
@@ -135,6 +140,40 @@ class ByteBpe:
             right = np.flatnonzero(best < rank.shape[1])
             rank[right, best[right]] = self._lookup(low[right], ids[right, best[right] + 1])
 
+    def _merge_long(self, piece: bytes) -> list[int]:
+        """The ids of one long piece; live cells are linked, and dead ones compacted away once they are the half."""
+        ids = np.append(self.byte_id[np.frombuffer(piece, dtype=np.uint8)], [-1, -1]).astype(np.int32)
+        while True:
+            n = len(ids) - 2  # two cells of -1 stand for both ends
+            after, prior = np.arange(1, n + 3), np.arange(-1, n + 1)
+            after[n + 1], prior[0], dead = n, n + 1, 0
+            rank = np.full(n + 2, _NONE, dtype=np.int32)
+            rank[:n] = self._lookup(ids[:n], ids[1 : n + 1])
+            gone = np.zeros(n + 2, dtype=bool)
+            while dead * 2 <= n and (low := rank.min()) != _NONE:
+                at = np.flatnonzero(rank == low)
+                # of pairs that overlap, every other one from the left
+                apart = np.concatenate([[True], after[at[:-1]] != at[1:]])
+                k = np.arange(len(at))
+                at = at[(k - np.maximum.accumulate(np.where(apart, k, 0))) % 2 == 0]
+                second = after[at]
+                left = ids[prior[at]]
+                left[1:][prior[at[1:]] == second[:-1]] = low
+                lesser = np.flatnonzero(np.minimum(self._lookup(left, np.full(len(at), low)), self._lookup(np.full(len(at), low), ids[after[second]])) < low)
+                if len(lesser):
+                    at, second = at[: lesser[0] + 1], second[: lesser[0] + 1]
+                ids[at], after[at] = low, after[second]
+                prior[after[at]] = at
+                rank[second], gone[second] = _NONE, True
+                dead += len(at)
+                before = prior[at]
+                rank[at] = self._lookup(ids[at], ids[after[at]])
+                rank[before] = self._lookup(ids[before], ids[after[before]])
+                rank[n + 1] = _NONE
+            ids = ids[~gone]
+            if not dead or low == _NONE:
+                return ids[:-2].tolist()
+
     def encode_pieces(self, pieces: list[bytes], cells: int = 1 << 18) -> list[list[int]]:
         out: list = [None] * len(pieces)
         todo = []
@@ -142,6 +181,8 @@ class ByteBpe:
             r = self.ranks.get(p)
             if r is not None:
                 out[i] = [r]
+            elif len(p) > LONG:
+                out[i] = self._merge_long(p)
             elif p:
                 todo.append(i)
             else:
