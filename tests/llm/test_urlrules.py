@@ -64,3 +64,17 @@ def test_edges(spark):
     assert judge(empty, RULES, empty).count() == 0 and mine(empty) == []
     assert mine(spark.createDataFrame([(1, None, True), (2, "http://a.b/c", None)], schema)) == []
     assert mine(spark.createDataFrame([(1, "http://a.b/c", True)], schema)) == []
+
+
+def test_rules_of_four_tokens_and_high_base_rates(spark):
+    """Four tokens that block only together; and a table in which most URLs are blocked."""
+    r = random.Random(6)
+    rows = []
+    for i in range(1200):
+        have = [r.random() < 0.6 for _ in range(4)]
+        rows.append((i, f"http://h{i % 5}.test/" + "/".join(f"p{'abcd'[k]}" for k in range(4) if have[k]), all(have)))
+    rules = mine(spark.createDataFrame(rows, "page_id long, url string, block boolean"))
+    assert {t for t, *_ in rules} == {frozenset(f"p=p{x}" for x in "abcd")}
+    most = [(i, f"http://{'bad' if i % 10 < 7 else 'good'}.test/{i}", i % 10 < 7 or i % 20 == 9) for i in range(600)]
+    found = mine(spark.createDataFrame(most, "page_id long, url string, block boolean"))
+    assert frozenset(["h=bad"]) in {t for t, *_ in found} and not any(t <= {"h=good", "h=test", "p=#"} for t, *_ in found)

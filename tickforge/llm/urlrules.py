@@ -1,7 +1,7 @@
 """URL filters: stated host and path rules, and association rules that Spark's FP-growth mines from labelled URLs.
 
 A URL is a set of tokens: labels of its host, its last two labels together, path segments with digits folded, and
-names of its query.  Frequent token sets that go with the label "block" with enough support, confidence and lift become
+names of its query.  Frequent token sets that go with the label "block" with enough support and confidence become
 rules; a rule that holds a smaller one is pruned.  Rules are matched by an inverted index that files each rule under
 its rarest token.
 """
@@ -49,20 +49,22 @@ def tokens_of(url: Column) -> Column:
     )
 
 
-def mine(labelled: DataFrame, url_col: str = "url", label_col: str = "block", support: float = 0.005, confidence: float = 0.8, lift: float = 1.5, most_tokens: int = 3) -> list[tuple[frozenset[str], float, float]]:
+def mine(labelled: DataFrame, url_col: str = "url", label_col: str = "block", support: float = 0.005, confidence: float = 0.8, gain: float = 1 / 3) -> list[tuple[frozenset[str], float, float]]:
     """Association rules (tokens, confidence, support) that say "block"; label_col is boolean, null teaches nothing.
 
     support is a share of the labelled URLs, and at least five of them, so the number of frequent sets does not grow
-    with the table.  Sets that hold another rule's tokens are pruned.
+    with the table.  A rule's confidence must also be above the base rate by `gain` of what the base rate leaves.  Where all or
+    none are blocked nothing tells them apart, and there is no rule.  Sets of any size count; those that hold another rule's tokens are pruned.
     """
     rows = labelled.where(F.col(label_col).isNotNull() & F.col(url_col).isNotNull())
     items = rows.select(F.concat(tokens_of(F.col(url_col)), F.when(F.col(label_col), F.array(F.lit(_BLOCK))).otherwise(F.array().cast("array<string>"))).alias("items"))
     items = items.where(F.size("items") > 0)
-    n = items.count()
-    if n == 0:
+    n, blocked = items.agg(F.count("*"), F.count_if(F.array_contains("items", _BLOCK))).first()
+    if not blocked or blocked == n:
         return []
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(support, 5 / n)), minConfidence=confidence).fit(items)
-    found = model.associationRules.where((F.size("consequent") == 1) & (F.col("consequent")[0] == _BLOCK) & (F.col("lift") >= lift) & (F.size("antecedent") <= most_tokens))
+    least = max(confidence, blocked / n + (1 - blocked / n) * gain)
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(support, 5 / n)), minConfidence=least).fit(items)
+    found = model.associationRules.where((F.size("consequent") == 1) & (F.col("consequent")[0] == _BLOCK))
     rules = [(frozenset(r["antecedent"]), r["confidence"], r["support"]) for r in found.select("antecedent", "confidence", "support").collect()]
     rules.sort(key=lambda r: (len(r[0]), sorted(r[0])))
     kept: list[tuple[frozenset[str], float, float]] = []
