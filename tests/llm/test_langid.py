@@ -1,10 +1,14 @@
 import random
 import zlib
+from collections import Counter
+from itertools import combinations
+from math import exp, sqrt
 
 import numpy as np
 
 from tickforge.llm.bytesops import utf8
-from tickforge.llm.langid import CELLS, families, identify, trigram_vectors
+from tickforge.llm.langid import CELLS, families, identify, predict, train, trigram_vectors
+from tickforge.llm.sampling import per_class
 
 WORDS = {
     "aa": "the and with that from this have which their would",
@@ -68,3 +72,54 @@ def test_vectors_do_not_depend_on_neighbours():
 def test_families_join_the_alike():
     m = {"a": np.array([1.0, 0.1, 0]), "b": np.array([1.0, 0, 0.1]), "c": np.array([0, 1.0, 1.0]), "d": np.array([0, 1.0, 0.9])}
     assert sorted(families(m)) == [["a", "b"], ["c", "d"]]
+
+
+def plain_vector(text):
+    """Square roots of relative counts of hashed trigrams, byte by byte."""
+    folded, before = [], 0
+    for b in text.encode():
+        if 65 <= b <= 90 or (before == 0xC3 and 0x80 <= b <= 0x9E and b != 0x97):
+            folded.append(b + 32)
+        else:
+            folded.append(b if 97 <= b <= 122 or b >= 128 else 32)
+        before = b
+    cells = Counter()
+    for x, y, z in zip(folded, folded[1:], folded[2:], strict=False):
+        if (x, y, z) != (32, 32, 32):
+            cells[((x << 16 | y << 8 | z) * 2654435761 % (1 << 32)) >> 20] += 1
+    n = sum(cells.values())
+    return {c: sqrt(k / n) for c, k in cells.items()}
+
+
+def test_predictions_by_hand(spark):
+    """Margins as sums over a text's trigrams: the family, then the votes of the pairs in it."""
+    rows = [(i, t, lang) for i, t, lang, _ in texts(300)] + [(900, "ÉTÉ Où ça", None), (901, "The WITH 12 -- ça", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    m = train(df)
+    squash = lambda x: 1 / (1 + exp(-max(-60, min(60, 4 * x))))
+    for r in predict(df, m, keep=("doc_id", "text")).collect():
+        v = plain_vector(r.text)
+        margin = lambda w: sum(float(w[0][c]) * x for c, x in v.items()) + w[1]
+        family = [margin(w) for w in m.family] or [0.0]
+        f = family.index(max(family))
+        sure = squash(family[f]) if m.family else 1.0
+        votes = {a: [0, 0.0] for a in m.groups[f]}
+        for a, b in combinations(m.groups[f], 2):
+            p = squash(margin(m.pairs[a, b]))
+            votes[a if p >= 0.5 else b][0] += 1
+            votes[a][1] += p
+            votes[b][1] += 1 - p
+        best = max(votes, key=lambda a: votes[a][0] + votes[a][1] / (len(votes) + 1))
+        assert r.lang_pred == best
+        want = sure * (votes[best][1] / (len(votes) - 1) if len(votes) > 1 else 1)
+        assert r.score == 0 or abs(r.score - want) < 1e-3
+
+
+def test_sample_of_rows_without_ids_and_of_one_id(spark):
+    for i in (None, 0):
+        rows = [(i, t, lang) for _, t, lang, _ in texts(4000)] + [(i, "the and with", "aa")] * 3000
+        df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        picked, counts = per_class(df, "lang", ["doc_id", "text"], 100)
+        assert sum(counts.values()) == 7000
+        assert 200 < picked.dropDuplicates().count() < 600
+        assert {r.lang_pred for r in identify(df).collect()} == set(WORDS)

@@ -1,11 +1,12 @@
 import random
 import zlib
+from math import exp
 
 import numpy as np
 import pyarrow as pa
 
 from tickforge.llm.bytesops import utf8
-from tickforge.llm.quality import ByteCnn, classify, windows
+from tickforge.llm.quality import FILTERS, HALF, HIDDEN, LAGS, ByteCnn, classify, windows
 
 
 def text(good, rng):
@@ -78,3 +79,36 @@ def test_gradient():
         down = loss()
         m.p[k][at] = was
         assert abs((up - down) / (2 * step) - g[k][at]) < 2e-3
+
+
+def plain_score(m, data):
+    """Window by window, chunk by chunk, as the docstring of the module states it."""
+    windows_ = [bytes(data[i : i + 4]).ljust(4, b"\0") for i in range(0, len(data), 2)]
+    every = [bytes(data[i : i + 4]).ljust(4, b"\0") for i in range(len(data))]
+    head = max(LAGS) // 2 + 1
+    p, responses = m.p, []
+    for k, w in enumerate(windows_):
+        again = k >= head and any(2 * k >= lag and every[2 * k - lag] == w for lag in LAGS)
+        responses.append([max(0.0, sum(float(p["e"][j, w[j], f]) for j in range(4)) + float(p["a"][f]) + (float(p["c"][f]) if again else 0)) for f in range(FILTERS)])
+    halves = [responses[a : a + HALF] for a in range(0, len(responses), HALF)]
+    chunks = [x + y for x, y in zip(halves, halves[1:], strict=False)] if len(halves) > 1 else halves
+    means = [[sum(r[f] for r in c) / len(c) for f in range(FILTERS)] for c in chunks]
+    hidden = [[max(0.0, sum(float(p["v"][h, f]) * x[f] for f in range(FILTERS)) + float(p["d"][h])) for h in range(HIDDEN)] for x in means]
+    logit = sum(max((z[h] for z in hidden), default=0.0) * float(p["w"][h]) for h in range(HIDDEN)) + float(p["b"][0]) + m.shift
+    return 1 / (1 + exp(-logit))
+
+
+def test_score_by_hand():
+    m, rng = ByteCnn(seed=9), random.Random(7)
+    rows = ["", "a", "abc", "the the the the the the the the the the the", text(1, rng)[:900], text(0, rng)[:1500], "é$" * 300]
+    got = m.score(*utf8(pa.array(rows)), m.tables())
+    for s, t in zip(got, rows, strict=True):
+        assert abs(s - plain_score(m, t.encode())) < 1e-4, t[:40]
+
+
+def test_labels_in_conflict_and_repeated_ids(spark):
+    rng = random.Random(3)
+    docs = spark.createDataFrame([(i // 2, text(i // 2 % 2, rng), 0, "x") for i in range(400)], "doc_id long, text string, predicted int, held_out string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)] + [(i, 0) for i in range(200)], "doc_id long, quality int")
+    got = classify(docs, labels, each=20).collect()
+    assert len(got) == 400 and got[0].__fields__ == ["doc_id", "held_out", "score", "predicted"]

@@ -27,6 +27,8 @@ CELLS = 4096
 VECTORS = 256
 #: Most training rows in all; they are shared out equally among the languages.
 MOST_TRAIN = 1600
+#: Most languages that are learnt, the most frequent ones; each has MOST_TRAIN / MOST_LANGUAGES rows at least.
+MOST_LANGUAGES = 200
 #: With fewer learned rows than this no text is strange.
 LEAST_LEARNT = 40
 #: A text is strange beyond this many times the 99 % quantile of learned rows' deviations.
@@ -174,8 +176,11 @@ class LanguageModel:
 def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most: int = MOST_TRAIN) -> LanguageModel:
     """Fit on about `most` of the rows that are not held out, have a language and a letter; vectors are made on executors."""
     rows = df.where(~held_out(id_col) & F.col(text_col).rlike(r"\p{L}")).select(F.col(id_col).alias("i"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    languages = rows.select("lang").where("lang is not null").distinct().count()
-    picked, _ = per_class(rows, "lang", "i", max(8, most // max(1, languages)))
+    counts = rows.where("lang is not null").groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(MOST_LANGUAGES).collect()
+    each = max(1, most // max(1, len(counts)))
+    picked, _ = per_class(rows, "lang", ["i", "text"], each, {r["lang"]: r["n"] for r in counts})
+    # equal rows, which the hash takes together, can't bring more than twice as many
+    picked = picked.orderBy(F.xxhash64("i", "text"), "i").limit(2 * each * max(1, len(counts)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -19,8 +19,8 @@ from tickforge.llm.bytesops import map_batches, slices, utf8
 from tickforge.llm.sampling import held_out, per_class
 
 FILTERS, HIDDEN, HALF, LAGS = 8, 8, 64, range(2, 26)
-#: About this many training documents of each label.
-EACH = 1000
+#: About this many training documents of each label, none of more than LONGEST characters.
+EACH, LONGEST = 1000, 1 << 17
 
 
 def windows(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -160,11 +160,15 @@ class ByteCnn:
 
 
 def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", each: int = EACH) -> ByteCnn:
-    """Fit on about `each` whole texts of either label that are not held out; the intercept is set to the labels' true ratio."""
+    """Fit on about `each` whole texts of either label that are not held out; the intercept is set to the labels' true ratio.
+
+    Texts of more than LONGEST characters do not teach, and at most 4 * each texts do, where ids repeat.
+    """
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col)).select(F.col(id_col).alias("i"), F.col(label_col).cast("int").alias("y")).groupBy("i").agg(F.max("y").alias("y"))
-    picked, counts = per_class(known, "y", "i", each)
-    texts = df.select(F.col(id_col).alias("i"), F.col(text_col).alias("text"))
-    rows = sorted(((r["y"], r["i"], r["text"] or "") for r in texts.join(F.broadcast(picked), "i").select("y", "i", "text").collect()), key=repr)
+    picked, counts = per_class(known, "y", ["i"], each)
+    texts = df.select(F.col(id_col).alias("i"), F.col(text_col).alias("text")).where(F.coalesce(F.length("text"), F.lit(0)) <= LONGEST)
+    taught = texts.join(F.broadcast(picked), "i").select("y", "i", "text").orderBy(F.xxhash64("i", "text"), "i").limit(4 * each)
+    rows = sorted(((r["y"], r["i"], r["text"] or "") for r in taught.collect()), key=repr)
     model = ByteCnn()
     y = np.array([r[0] for r in rows], dtype=np.float32)
     model.trained = len(y) > 0
