@@ -137,6 +137,36 @@ def test_settings_to_facts(spark):
     assert got == {("gametype.score_limit", "integer", "50"), ("gametype.teamplay", "boolean", "true"), ("gametype.mode_settings.kill_in_order", "boolean", "false"), ("gametype.mode_settings.deep.deeper.deepest", "number", "1"), ("gametype.ratio", "number", "1.5")}
 
 
+def test_settings_limits_and_keys_that_normalise_alike(spark):
+    configure(spark)
+    doc = {f"key_{k:03d}": k for k in range(200)} | {"deep": {f"k{k:03d}": 1 for k in range(130)}}
+    alike = {"Score_Limit": 5, "score_limit": 7}
+    df = spark.createDataFrame([("g", json.dumps(doc)), ("h", json.dumps(alike))], "game_id string, j string").select("game_id", F.parse_json("j").alias("v"))
+    facts = S.facts(S.flatten(df, "v"))
+    per = facts.groupBy("game_id", F.col("key").startswith("gametype.deep.").alias("deep")).count().collect()
+    assert {(r.game_id, r.deep): r["count"] for r in per} == {("g", False): 127, ("g", True): 128, ("h", False): 1}
+    assert facts.where("game_id = 'h'").first().value == "7"
+    assert not any(t.name.startswith("tickforge") for t in spark.catalog.listTables())
+
+
+def test_numbers_without_suffixes(spark):
+    texts = ["1d", "5f", "1D", " 2.5 ", "1e3", ".5", "5.", "nan", "-inf", "0x10", "1_0", "", None, "+7"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r.n for r in df.select(C.number(F.col("t")).alias("n")).collect()]
+    assert got[:3] == [None] * 3 and got[3:7] == [2.5, 1000.0, 0.5, 5.0] and got[7] != got[7] and got[8] == float("-inf") and got[9:13] == [None] * 4 and got[13] == 7.0
+
+
+def test_times_do_not_depend_on_the_session_zone(spark):
+    df = spark.createDataFrame([("2026-05-09 15:51:32.5",), ("2026-05-09T17:51:32+02:00",), ("2026-05-09",)], "t string")
+    was = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert [r.t for r in df.select(C.timestamp_text(F.col("t")).alias("t")).collect()] == ["2026-05-09T15:51:32.500000Z", "2026-05-09T15:51:32Z", "2026-05-09T00:00:00Z"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", was)
+
+
 def test_spawn_points(spark):
     doc = [{"x": 1, "y": 2, "z": 3}, {"position": {"x": "4", "y": 5, "z": 6}}, {"origin": [7, 8, 9, 0]}, [1, 1, 1], [1, 2], {"x": "nan", "y": 1, "z": 1}, {"x": "bad", "y": 1, "z": 1, "location": {"x": 0, "y": 0, "z": 0}}, 5, None]
     df = spark.createDataFrame([("g", json.dumps(doc)), ("h", "{}")], "game_id string, j string").select("game_id", F.parse_json("j").alias("v"))

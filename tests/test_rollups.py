@@ -28,7 +28,7 @@ def run(spark, conf, cells, participants, size=0.5, games=None):
     g = spark.createDataFrame(games or [("s", 1, True, 30.0, size, "available", 2)], GAMES)
     p = spark.createDataFrame(participants, PART)
     occ = spark.createDataFrame(cells, OCC)
-    m = R.match(R.assign(g, p, occ), conf, (0.5, size))
+    m = R.match(R.assign(g, p, occ), conf)
     return m, g, p
 
 
@@ -39,8 +39,8 @@ def test_heatmap_projection(spark):
     heat = H.rows(p, occ, e)
     got = {(r.metric, r.team_key, r.px, r.py): r.value for r in H.cells(heat).collect()}
     assert got == {("occupancy", "team:0", -1, -3): 3, ("occupancy", "team:none", 4, 1): 5, ("killer_position", "team:0", -1, -1): 1, ("victim_position", "team:0", 2, 2): 1}
-    s = {r.metric: (r.games_selected, r.games_contributing, r.participants_selected, r.participants_contributing) for r in H.summary(heat, p).collect()}
-    assert s == {"occupancy": (1, 1, 2, 2), "killer_position": (1, 1, 2, 1), "victim_position": (1, 1, 2, 1)}
+    s = {r.metric: (r.games_selected, r.games_contributing, r.participants_selected, r.participants_contributing) for r in H.summary(heat, p, spark.createDataFrame([("s", 1), ("s", 2)], "scope_id string, game_id long")).collect()}
+    assert s == {"occupancy": (2, 1, 2, 2), "killer_position": (2, 1, 2, 1), "victim_position": (2, 1, 2, 1)}
     assert H.faults(H.cells(heat)).count() == 0
 
 
@@ -55,7 +55,7 @@ def test_region_totals_and_collections(spark):
     conf = R.parse_configuration(document([(-2, 0)], [(0, 2)], [(-0.5, 0.5)], collections=[("partition", [1, 2]), ("overlay", [1, 2, 3])]), 3, "a" * 64)
     cells = [(1, 0, -1, 0, 0, 45, ), (1, 1, 0, 0, 0, 15), (1, 1, 2, 0, 0, 40), (1, 1, 9, 0, 0, 5), (1, 9, 0, 0, 0, 7)]
     m, g, p = run(spark, conf, cells, [("s", 1, "a", 0, 0), ("s", 1, "b", 1, 1)])
-    groups = R.grouped(m)
+    groups = R.grouped(m, g)
     t = {(r.group_key, r.region_id): r.ticks for r in R.region_totals(groups, conf).collect()}
     assert [t["all", uid(k)] for k in (1, 2, 3)] == [45, 55, 60] and t["team:0", uid(2)] == 0 and t["team:1", uid(2)] == 55
     c = {(r.group_key, r.mode): (r.member_ticks, r.union_ticks, r.outside_ticks, r.overlap_ticks) for r in R.collection_totals(groups, conf).collect()}
@@ -67,23 +67,23 @@ def test_region_totals_and_collections(spark):
 
 def test_boxes_of_one_region_count_once(spark):
     conf = R.parse_configuration(document([(-2, 1), (-1, 2)], [(-0.5, 0.5)], collections=[("overlay", [1, 2])]))
-    m, *_ = run(spark, conf, [(1, 0, -1, 0, 0, 30), (1, 0, 2, 0, 0, 15)], [("s", 1, "a", 0, None)])
-    t = {r.region_id: r.ticks for r in R.region_totals(R.grouped(m), conf).collect() if r.group_key == "all"}
+    m, g, _ = run(spark, conf, [(1, 0, -1, 0, 0, 30), (1, 0, 2, 0, 0, 15)], [("s", 1, "a", 0, None)])
+    t = {r.region_id: r.ticks for r in R.region_totals(R.grouped(m, g), conf).collect() if r.group_key == "all"}
     assert t == {uid(1): 45, uid(2): 30}
-    c = R.collection_totals(R.grouped(m), conf).where("group_key = 'all'").first()
+    c = R.collection_totals(R.grouped(m, g), conf).where("group_key = 'all'").first()
     assert (c.member_ticks, c.union_ticks, c.overlap_ticks) == (75, 45, 30)
 
 
 def test_upper_bound_is_outside(spark):
     conf = R.parse_configuration(document([(-1, 0)], [(0, 1)]))
-    m, *_ = run(spark, conf, [(1, 0, -1, 0, 0, 3), (1, 0, 0, 0, 0, 4)], [("s", 1, "a", 0, 0)])
-    assert {r.region_id: r.ticks for r in R.region_totals(R.grouped(m), conf).collect() if r.group_key == "all"} == {uid(1): 3, uid(2): 4}
+    m, g, _ = run(spark, conf, [(1, 0, -1, 0, 0, 3), (1, 0, 0, 0, 0, 4)], [("s", 1, "a", 0, 0)])
+    assert {r.region_id: r.ticks for r in R.region_totals(R.grouped(m, g), conf).collect() if r.group_key == "all"} == {uid(1): 3, uid(2): 4}
 
 
 def test_coarse_cells_count_by_centre(spark):
     conf = R.parse_configuration(document([(-1, 0)], [(0, 1)]))
     m, g, p = run(spark, conf, [(1, 0, -1, 0, 0, 3), (1, 0, 0, 0, 0, 4)], [("s", 1, "a", 0, 0)], size=1.0)
-    assert {r.region_id: r.ticks for r in R.region_totals(R.grouped(m), conf).collect() if r.group_key == "all"} == {uid(1): 3, uid(2): 4}
+    assert {r.region_id: r.ticks for r in R.region_totals(R.grouped(m, g), conf).collect() if r.group_key == "all"} == {uid(1): 3, uid(2): 4}
     assert R.coverage(g, p, m).first().membership_precision == "voxel_center"
 
 
@@ -95,6 +95,33 @@ def test_missing_and_incompatible_games(spark):
     assert (s.games_selected, s.games_contributing, s.games_missing_data, s.incompatible_games, s.participants_selected, s.discarded_samples) == (2, 0, 2, 1, 4, 0)
 
 
+def test_a_scope_without_ticks_has_its_group_of_all(spark):
+    conf = R.parse_configuration(document([(-1, 0)], [(0, 1)], collections=[("overlay", [1, 2])]))
+    m, g, _ = run(spark, conf, [], [("s", 1, "a", 0, 0)])
+    groups = R.grouped(m, g)
+    assert [(r.group_key, r.observed) for r in R.group_totals(groups).collect()] == [("all", 0)]
+    assert sorted((r.region_id, r.ticks, r.share_of_group, r.share_of_region) for r in R.region_totals(groups, conf).collect()) == [(uid(1), 0, None, None), (uid(2), 0, None, None)]
+    assert [(r.member_ticks, r.outside_ticks, r.outside_share) for r in R.collection_totals(groups, conf).collect()] == [(0, 0, None)]
+
+
+def test_any_cell_size(spark):
+    """Cells of 1.5 and 2.5 whose centres lie in the box, against the bounds of Box.cells."""
+    conf = R.parse_configuration(document([(-4, 3.5)], [(3.5, 9)]))
+    for size in (1.5, 2.5):
+        m, *_ = run(spark, conf, [(1, 0, x, 0, 0, 1) for x in range(-4, 8)], [("s", 1, "a", 0, 0)], size=size)
+        for r in m.collect():
+            want = [q.id for q in conf.regions for b in q.boxes if b.cells(size)[0] <= r.cx < b.cells(size)[1]]
+            assert r.matched == want and r.checks == 2, (size, r.cx)
+
+
+def test_group_limits(spark):
+    conf = R.parse_configuration(document([(-1, 0)]))
+    m, g, _ = run(spark, conf, [(1, k, -1, 0, 0, 1 << 52) for k in range(3)], [("s", 1, f"p{k}", k, k) for k in range(3)])
+    groups = R.grouped(m, g)
+    assert {r.code for r in R.group_faults(groups).collect()} == {"rollup_counter_overflow"}
+    assert {r.code for r in R.group_faults(groups, 3).collect()} == {"rollup_counter_overflow", "rollup_group_limit_exceeded"}
+
+
 def test_work_limit(spark):
     conf = R.parse_configuration(document([(-1, 0), (1, 2), (3, 4)]))
     m, *_ = run(spark, conf, [(1, 0, -1, 0, 0, 3)], [("s", 1, "a", 0, 0)])

@@ -14,6 +14,8 @@ COUNTER_LIMIT = 2_147_483_647
 #: Counters of the rollups must not pass this value.
 ROLLUP_LIMIT = 2**53 - 1
 TICKS_PER_SECOND = 30
+#: A decimal number, without the suffixes that the cast would take.
+NUMBER = r"(?i)^[-+]?(?:[0-9]+\.?[0-9]*(?:e[-+]?[0-9]+)?|\.[0-9]+(?:e[-+]?[0-9]+)?|inf|infinity|nan)$"
 
 _BLANK = " \t\n\r\x0b\x0c"
 
@@ -40,8 +42,9 @@ def truncated(c: Column) -> Column:
 
 
 def number(c: Column) -> Column:
-    """A double; NaN and infinities are accepted."""
-    return c.cast("string").try_cast("double")
+    """A double; NaN and infinities are accepted, suffixes as in 1d and 5f are not."""
+    t = text(c)
+    return F.when(t.rlike(NUMBER), t.try_cast("double"))
 
 
 def boolean(c: Column) -> Column:
@@ -79,14 +82,16 @@ def coordinate(c: Column) -> Column:
 def timestamp(c: Column) -> Column:
     """`Y-m-d H:M:S[.f]` in UTC, or ISO-8601 with an offset."""
     t = text(c)
-    return F.when(t.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?([Zz]|[-+][0-9]{2}:?[0-9]{2})?)?$"), t.try_cast("timestamp"))
+    zoned = F.when(t.rlike(r"^[-0-9]+$"), F.concat(t, F.lit("T00:00:00Z"))).when(t.rlike(r"([Zz]|[-+][0-9]{2}:?[0-9]{2})$"), t).otherwise(F.concat(t, F.lit("Z")))
+    return F.when(t.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?([Zz]|[-+][0-9]{2}:?[0-9]{2})?)?$"), zoned.try_cast("timestamp"))
 
 
 def timestamp_text(c: Column) -> Column:
     """timestamp as text with Z; microseconds only if there are any."""
     t = timestamp(c)
     micros = F.pmod(F.unix_micros(t), F.lit(1_000_000))
-    return F.concat(F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss"), F.when(micros != 0, F.concat(F.lit("."), F.lpad(micros.cast("string"), 6, "0"))).otherwise(""), F.lit("Z"))
+    utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), t.cast("timestamp_ntz"))  # whatever the session's zone
+    return F.concat(F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss"), F.when(micros != 0, F.concat(F.lit("."), F.lpad(micros.cast("string"), 6, "0"))).otherwise(""), F.lit("Z"))
 
 
 def duration(c: Column) -> Column:

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tickforge.functions.coerce import boolean, integer, text
 
@@ -63,17 +67,33 @@ def fact_key(c: Column) -> Column:
     return F.when(t.rlike("^[a-z][a-z0-9_]*$"), t)
 
 
+def _viewed(df: DataFrame, sql: Callable[[str], str]) -> DataFrame:
+    """SQL over df under a name of its own, which is gone afterwards."""
+    name = f"tickforge_{uuid.uuid4().hex}"
+    df.createOrReplaceTempView(name)
+    try:
+        return df.sparkSession.sql(sql(name))
+    finally:
+        df.sparkSession.catalog.dropTempView(name)
+
+
 def flatten(df: DataFrame, doc: str, by: str = "game_id", depth: int = DEPTH) -> DataFrame:
-    """(by, path array<string>, value variant) of a VARIANT document's scalars under safe keys, to the given depth; lists and nulls are left out."""
-    level = df.select(by, F.array().cast("array<string>").alias("path"), F.col(doc).alias("v"))
+    """(by, path array<string>, at array<int>, v variant) of a VARIANT document's scalars under safe keys, to the given depth.
+
+    Lists and nulls are left out.  Of each object the first MOST_ITEMS safe keys count; a VARIANT keeps its keys in
+    order of their names, and `at` says the place of each.
+    """
+    level = df.select(by, F.array().cast("array<string>").alias("path"), F.array().cast("array<int>").alias("at"), F.col(doc).alias("v"), F.monotonically_increasing_id().alias("_doc"))
     out = None
     for _ in range(depth):
         obj = level.where(F.schema_of_variant("v").startswith("OBJECT"))
-        obj.createOrReplaceTempView("_tickforge_level")
-        rows = df.sparkSession.sql(f"SELECT `{by}`, path, e.key AS k, e.value AS x, e.pos AS n FROM _tickforge_level, LATERAL variant_explode(v) e").where(f"n < {1 << 20}")
-        rows = rows.withColumn("k", safe_key(F.col("k"))).where("k is not null").select(by, F.concat("path", F.array("k")).alias("path"), F.col("x").alias("v"))
+        rows = _viewed(obj, lambda name: f"SELECT l.*, e.key AS k, e.value AS x, e.pos AS n FROM {name} l, LATERAL variant_explode(v) e")
+        kind = F.schema_of_variant("x")
+        rows = rows.withColumn("k", safe_key(F.col("k"))).where(F.col("k").isNotNull() & (kind != "VOID"))
+        rows = rows.withColumn("r", F.row_number().over(Window.partitionBy("_doc", "path").orderBy("n"))).where(F.col("r") <= MOST_ITEMS)
+        rows = rows.select(by, F.concat("path", F.array("k")).alias("path"), F.concat("at", F.array("n")).alias("at"), F.col("x").alias("v"), "_doc")
         kind = F.schema_of_variant("v")
-        leaf = rows.where(~kind.startswith("OBJECT") & ~kind.startswith("ARRAY") & (kind != "VOID"))
+        leaf = rows.where(~kind.startswith("OBJECT") & ~kind.startswith("ARRAY")).drop("_doc")
         out = leaf if out is None else out.unionByName(leaf)
         level = rows
     return out
@@ -82,16 +102,18 @@ def flatten(df: DataFrame, doc: str, by: str = "game_id", depth: int = DEPTH) ->
 def facts(flat: DataFrame, by: str = "game_id") -> DataFrame:
     """(by, key, kind, value): typed facts of flattened settings; keys are `gametype.` and the normalised path.
 
-    Some keys are booleans and some integers whatever their text; of others, unsafe texts and non-finite numbers go."""
+    Some keys are booleans and some integers whatever their text; of others, unsafe texts and non-finite numbers go.  Of
+    keys that normalise alike the last one counts."""
     parts = F.transform("path", fact_key)
     key = F.concat(F.lit("gametype."), F.array_join(parts, "."))
     raw = F.try_variant_get("v", "$", "string")
-    rows = flat.where(~F.exists(parts, lambda p: p.isNull())).select(by, key.alias("key"), F.schema_of_variant("v").alias("k"), raw.alias("raw"))
+    rows = flat.where(~F.exists(parts, lambda p: p.isNull())).select(by, "at", key.alias("key"), F.schema_of_variant("v").alias("k"), raw.alias("raw"))
     is_bool, is_int = F.col("key").isin(*BOOLEAN_FACTS), F.col("key").isin(*INTEGER_FACTS)
     plain = F.col("k") == "STRING"
     value = F.when(is_bool, boolean(F.col("raw")).cast("string")).when(is_int, integer(F.col("raw")).cast("string")).when(plain, safe_text(F.col("raw"))).otherwise(F.col("raw"))
     kind = F.when(is_bool, "boolean").when(is_int, "integer").when(plain, "text").when(F.col("k") == "BOOLEAN", "boolean").otherwise("number")
-    return rows.select(by, "key", kind.alias("kind"), value.alias("value")).where("value is not null")
+    typed = rows.select(by, "key", F.struct("at", kind.alias("kind"), value.alias("value")).alias("f")).where("f.value is not null")
+    return typed.groupBy(by, "key").agg(F.max("f").alias("f")).select(by, "key", "f.kind", "f.value")
 
 
 def spawn_points(df: DataFrame, doc: str, by: str = "game_id", most: int = 512) -> DataFrame:
@@ -99,8 +121,7 @@ def spawn_points(df: DataFrame, doc: str, by: str = "game_id", most: int = 512)
 
     A record is {x, y, z}, or holds such an object or a list under position, translation, origin or location, or is a
     list itself; the first shape that gives three finite numbers counts."""
-    df.createOrReplaceTempView("_tickforge_spawns")
-    rows = df.sparkSession.sql(f"SELECT `{by}`, e.pos, e.value AS r FROM _tickforge_spawns, LATERAL variant_explode({doc}) e WHERE schema_of_variant({doc}) LIKE 'ARRAY%'")
+    rows = _viewed(df, lambda name: f"SELECT `{by}`, e.pos, e.value AS r FROM {name}, LATERAL variant_explode({doc}) e WHERE schema_of_variant({doc}) LIKE 'ARRAY%'")
 
     def at(paths: tuple[str, str, str]) -> Column:
         xyz = [F.try_variant_get("r", p, "string").try_cast("double") for p in paths]
@@ -113,7 +134,5 @@ def spawn_points(df: DataFrame, doc: str, by: str = "game_id", most: int = 512)
     for k in ("position", "translation", "origin", "location"):
         shapes += [(f"$.{k}.x", f"$.{k}.y", f"$.{k}.z"), (f"$.{k}[0]", f"$.{k}[1]", f"$.{k}[2]")]
     shapes.append(("$[0]", "$[1]", "$[2]"))
-    from pyspark.sql.window import Window
-
     rows = rows.select(by, "pos", F.coalesce(*map(at, shapes)).alias("p")).where("p is not null")
     return rows.withColumn("n", F.row_number().over(Window.partitionBy(by).orderBy("pos"))).where(F.col("n") <= most).select(by, "n", "p.x", "p.y", "p.z")

@@ -43,10 +43,14 @@ def cells(heat: DataFrame) -> DataFrame:
     return heat.groupBy("scope_id", "metric", team_key(F.col("team")).alias("team_key"), "px", "py").agg(F.sum("value").alias("value"))
 
 
-def summary(heat: DataFrame, participants: DataFrame) -> DataFrame:
-    """One row a scope and metric: games and participants selected (rows) and contributing (distinct)."""
+def summary(heat: DataFrame, participants: DataFrame, games: DataFrame) -> DataFrame:
+    """One row a scope and metric: games and participants selected (rows) and contributing (distinct).
+
+    games: (scope_id, game_id), every selected game, with participants or without.
+    """
     one = heat.groupBy("scope_id", "metric").agg(F.countDistinct("game_id").alias("games_contributing"), F.countDistinct("participant_id").alias("participants_contributing"))
-    picked = participants.groupBy("scope_id").agg(F.countDistinct("game_id").alias("games_selected"), F.count("*").alias("participants_selected"))
+    each = games.select("scope_id", F.lit(1).alias("g"), F.lit(0).alias("p")).unionByName(participants.select("scope_id", F.lit(0).alias("g"), F.lit(1).alias("p")))
+    picked = each.groupBy("scope_id").agg(F.sum("g").alias("games_selected"), F.sum("p").alias("participants_selected"))
     spine = picked.select("*", F.explode(F.array(*map(F.lit, METRICS))).alias("metric"))
     return spine.join(one, ["scope_id", "metric"], "left").select("scope_id", "metric", "games_selected", F.coalesce("games_contributing", F.lit(0)).cast("bigint").alias("games_contributing"), "participants_selected", F.coalesce("participants_contributing", F.lit(0)).cast("bigint").alias("participants_contributing"))
 

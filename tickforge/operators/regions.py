@@ -15,10 +15,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickforge.functions.coerce import TICKS_PER_SECOND, team_key, team_label, team_order
+from tickforge.functions.coerce import ROLLUP_LIMIT, TICKS_PER_SECOND, team_key, team_label, team_order
 
 SNAP = 0.5
 MOST_SETS, MOST_REGIONS, MOST_COLLECTIONS, MOST_BOXES, MOST_SET_BOXES, MOST_GROUPS = 20, 100, 50, 16, 400, 64
+#: Selected cells times boxes that a scope may need.
+MOST_CHECKS = 5_000_000
 SPACE = "replay_world.v1"
 
 
@@ -180,33 +182,30 @@ def compatible_size(size: Column) -> Column:
     return F.coalesce(size.between(SNAP, 1000.0) & (F.abs(n - F.round(n)) <= F.abs(n) * 1e-9), F.lit(False))
 
 
-def _inside(box: tuple[int, ...]) -> Column:
-    return F.lit(True) & (F.col("cx") >= box[0]) & (F.col("cx") < box[1]) & (F.col("cy") >= box[2]) & (F.col("cy") < box[3]) & (F.col("cz") >= box[4]) & (F.col("cz") < box[5])
+def match(cells: DataFrame, conf: Configuration) -> DataFrame:
+    """Add matched (ids of regions with a box around the cell) and checks (boxes tried, stopping at a region's first hit).
 
+    Bounds in cells follow from each row's cell_size (Box.cells), whatever sizes there are; a null size matches nothing.
+    The boxes are one literal, so the plan does not grow with their number.
+    """
+    size = F.col("cell_size")
+    grid = F.abs(size - SNAP) <= 1e-9 * F.greatest(F.abs(size), F.lit(SNAP))
+    listed = F.array(*[F.struct(F.lit(r.id).alias("id"), F.array(*[F.array(*[F.lit(float(v)) for ab in zip(b.low, b.high, strict=True) for v in ab]) for b in r.boxes]).alias("boxes")) for r in conf.regions])
+    if not conf.regions:
+        return cells.withColumns({"matched": F.array().cast("array<string>"), "checks": F.lit(0).cast("bigint")})
 
-def match(cells: DataFrame, conf: Configuration, sizes: tuple[float, ...]) -> DataFrame:
-    """Add matched (ids of regions with a box around the cell) and checks (boxes tried, stopping at a region's first hit)."""
+    def inside(box: Column) -> Column:
+        at = lambda i: F.when(grid, F.round(F.get(box, F.lit(i)) / SNAP)).otherwise(F.ceil(F.get(box, F.lit(i)) / size - 0.5))
+        ok = F.lit(True)
+        for i, c in enumerate(("cx", "cy", "cz")):
+            ok = ok & (F.col(c) >= at(2 * i)) & (F.col(c) < at(2 * i + 1))
+        return F.coalesce(ok, F.lit(False))
 
-    def of(size: float) -> tuple[Column, Column]:
-        hits, tries = [], []
-        for r in conf.regions:
-            inside = [_inside(b.cells(size)) for b in r.boxes]
-            any_ = inside[0]
-            for i in inside[1:]:
-                any_ = any_ | i
-            hits.append(F.when(any_, F.lit(r.id)))
-            first = F.lit(len(inside))
-            for k in range(len(inside) - 1, -1, -1):
-                first = F.when(inside[k], k + 1).otherwise(first)
-            tries.append(first)
-        return F.array_compact(F.array(*hits)), sum(tries, F.lit(0)).cast("bigint")
-
-    matched, checks = F.array().cast("array<string>"), F.lit(0).cast("bigint")
-    for size in sizes:
-        m, c = of(size)
-        is_ = F.col("cell_size") == F.lit(float(size))
-        matched, checks = F.when(is_, m).otherwise(matched), F.when(is_, c).otherwise(checks)
-    return cells.withColumns({"matched": matched, "checks": checks})
+    first = F.transform(listed, lambda r: F.struct(r["id"].alias("id"), F.size(r["boxes"]).alias("n"), F.array_position(F.transform(r["boxes"], inside), F.lit(True)).alias("k")))
+    out = cells.withColumn("_first", first)
+    matched = F.transform(F.filter("_first", lambda r: r["k"] > 0), lambda r: r["id"])
+    checks = F.aggregate("_first", F.lit(0).cast("bigint"), lambda s, r: s + F.when(size.isNull(), 0).when(r["k"] > 0, r["k"]).otherwise(r["n"]))
+    return out.withColumns({"matched": matched, "checks": checks}).drop("_first")
 
 
 def begin(games: DataFrame) -> DataFrame:
@@ -223,9 +222,21 @@ def assign(games: DataFrame, participants: DataFrame, occupancy: DataFrame) -> D
     return occupancy.drop("cell_size").join(own, "game_id").join(participants, ["scope_id", "game_id", "slot"], "left")
 
 
-def grouped(matched: DataFrame) -> DataFrame:
-    """Each selected cell once for all players and once for its team."""
-    return matched.where("participant_id is not null").select("*", F.explode(F.array(F.lit("all"), team_key(F.col("team")))).alias("group_key"))
+def grouped(matched: DataFrame, games: DataFrame) -> DataFrame:
+    """Each selected cell once for all players and once for its team.
+
+    Every scope of games has the group of all players, with a row of no ticks, so that it shows without any cell too.
+    """
+    held = matched.where("participant_id is not null").select("*", F.explode(F.array(F.lit("all"), team_key(F.col("team")))).alias("group_key"))
+    none = games.select("scope_id").distinct().select("scope_id", F.lit("all").alias("group_key"), F.lit(0).cast("bigint").alias("ticks"), F.array().cast("array<string>").alias("matched"))
+    return held.unionByName(none, allowMissingColumns=True)
+
+
+def group_faults(groups: DataFrame, most: int = MOST_GROUPS) -> DataFrame:
+    """(scope_id, code) of scopes with more groups than allowed, or whose ticks pass the limit of counters."""
+    per = groups.groupBy("scope_id", "group_key").agg(F.sum("ticks").alias("t"))
+    many = per.groupBy("scope_id").count().where(F.col("count") > most).select("scope_id", F.lit("rollup_group_limit_exceeded").alias("code"))
+    return many.unionByName(per.where(F.col("t") > ROLLUP_LIMIT).select("scope_id", F.lit("rollup_counter_overflow").alias("code"))).distinct()
 
 
 def group_totals(groups: DataFrame) -> DataFrame:
@@ -283,7 +294,7 @@ def coverage(games: DataFrame, participants: DataFrame, matched: DataFrame) -> D
     return out.withColumns({**zero, "coverage_complete": complete, "membership_precision": how}).drop("_p")
 
 
-def over_budget(matched: DataFrame, conf: Configuration, limit: int) -> DataFrame:
+def over_budget(matched: DataFrame, conf: Configuration, limit: int = MOST_CHECKS) -> DataFrame:
     """Scopes whose selected cells times all boxes pass the work limit."""
     work = matched.where("participant_id is not null").groupBy("scope_id").agg((F.count("*") * conf.boxes).alias("work"))
     return work.where(F.col("work") > limit).select("scope_id", "work", F.lit("region_membership_limit_exceeded").alias("code"))

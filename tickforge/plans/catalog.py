@@ -46,11 +46,14 @@ c AS (SELECT *, CASE WHEN slot IS NULL OR slot < 0 OR slot > 63 THEN 'invalid_sl
 _VOXELS = f"""{_CLASSIFIED},
 v AS (SELECT game_id, slot, CAST(floor(x / CAST(0.5 AS DOUBLE)) AS BIGINT) AS cx, CAST(floor(y / CAST(0.5 AS DOUBLE)) AS BIGINT) AS cy, CAST(floor(z / CAST(0.5 AS DOUBLE)) AS BIGINT) AS cz,
   count(*) AS ticks, min((tick, pos)) AS f FROM c WHERE reason IS NULL GROUP BY 1, 2, 3, 4, 5)"""
-_CAPPED = f"""{_VOXELS},
+
+
+def _capped(slot: int = occupancy.SLOT_CELLS, game: int = occupancy.GAME_CELLS) -> str:
+    return f"""{_VOXELS},
 r AS (SELECT *, row_number() OVER (PARTITION BY game_id, slot ORDER BY f, cx, cy, cz) AS rs FROM v),
-r2 AS (SELECT *, CASE WHEN rs <= 2 THEN row_number() OVER (PARTITION BY game_id, rs <= 2 ORDER BY f, slot, cx, cy, cz) END AS rg FROM r),
-r3 AS (SELECT *, rs <= 2 AND rg <= 5 AS ok FROM r2),
-k AS (SELECT *, CASE WHEN coalesce(ok, false) THEN NULL WHEN rs > 2 AND count(*) FILTER (WHERE ok) OVER (PARTITION BY game_id, slot) >= 2 THEN 'slot_cell_limit' ELSE 'global_cell_limit' END AS cap FROM r3)"""
+r2 AS (SELECT *, CASE WHEN rs <= {slot} THEN row_number() OVER (PARTITION BY game_id, rs <= {slot} ORDER BY f, slot, cx, cy, cz) END AS rg FROM r),
+r3 AS (SELECT *, rs <= {slot} AND rg <= {game} AS ok FROM r2),
+k AS (SELECT *, CASE WHEN coalesce(ok, false) THEN NULL WHEN rs > {slot} AND count(*) FILTER (WHERE ok) OVER (PARTITION BY game_id, slot) >= {slot} THEN 'slot_cell_limit' ELSE 'global_cell_limit' END AS cap FROM r3)"""
 
 
 def _classified(spark: SparkSession, d: str) -> DataFrame:
@@ -73,21 +76,29 @@ def occupancy_coverage(spark, d):
     return occupancy.coverage(occupancy.voxels(c), c).withColumn("slots", F.array_join(F.transform("slots", lambda s: s.cast("string")), ","))
 
 
-@query("occupancy_caps", f"WITH {_CAPPED} SELECT game_id, slot, cx, cy, cz, ticks, cap FROM k")
-def occupancy_caps(spark, d):
-    return occupancy.capped(occupancy.voxels(_classified(spark, d)), 2, 5).drop("first")
+def caps_sql(*limits: int) -> str:
+    return f"WITH {_capped(*limits)} SELECT game_id, slot, cx, cy, cz, ticks, cap FROM k"
+
+
+@query("occupancy_caps", caps_sql())
+def occupancy_caps(spark, d, *limits):
+    return occupancy.capped(occupancy.voxels(_classified(spark, d)), *limits).drop("first")
 
 
 _HOSTS = "SELECT DISTINCT l_orderkey AS game_id, CAST(l_linenumber AS INT) AS slot FROM lineitem WHERE l_returnflag = 'A' AND l_linenumber = 2"
 
 
-@query("occupancy_exclusion", f"""WITH {_CAPPED}, h AS ({_HOSTS}), kept AS (SELECT k.* FROM k LEFT JOIN h USING (game_id, slot) WHERE cap IS NULL AND h.slot IS NULL),
+def exclusion_sql(*limits: int) -> str:
+    return f"""WITH {_capped(*limits)}, h AS ({_HOSTS}), kept AS (SELECT k.* FROM k LEFT JOIN h USING (game_id, slot) WHERE cap IS NULL AND h.slot IS NULL),
 p AS (SELECT game_id, reason, count(*) AS n FROM c WHERE reason IS NOT NULL GROUP BY ALL UNION ALL SELECT game_id, cap, sum(ticks) FROM k WHERE cap IS NOT NULL GROUP BY ALL
 UNION ALL SELECT game_id, 'hostman', sum(ticks) FROM k JOIN h USING (game_id, slot) WHERE cap IS NULL GROUP BY ALL)
-SELECT game_id, reason, sum(n)::BIGINT AS n FROM p GROUP BY ALL UNION ALL SELECT game_id, 'kept', sum(ticks)::BIGINT FROM kept GROUP BY ALL""")
-def occupancy_exclusion(spark, d):
+SELECT game_id, reason, sum(n)::BIGINT AS n FROM p GROUP BY ALL UNION ALL SELECT game_id, 'kept', sum(ticks)::BIGINT FROM kept GROUP BY ALL"""
+
+
+@query("occupancy_exclusion", exclusion_sql())
+def occupancy_exclusion(spark, d, *limits):
     c = _classified(spark, d)
-    cells = occupancy.capped(occupancy.voxels(c), 2, 5)
+    cells = occupancy.capped(occupancy.voxels(c), *limits)
     kept, gone = occupancy.exclude_slots(cells.where("cap is null"), adapt(spark, d, _HOSTS))
     own = kept.groupBy("game_id").agg(F.sum("ticks").alias("n")).select("game_id", F.lit("kept").alias("reason"), "n")
     return occupancy.discards(c, cells, gone).unionByName(own)
@@ -119,11 +130,11 @@ def heatmap_cells(spark, d):
 
 
 @query("heatmap_summary", f"""WITH {_SCOPE}, m AS (SELECT unnest(['occupancy', 'killer_position', 'victim_position']) AS metric),
-a AS (SELECT scope_id, count(DISTINCT game_id) AS games_selected, count(*) AS participants_selected FROM p GROUP BY 1),
+a AS (SELECT scope_id, sum(n)::BIGINT AS games_selected, sum(k)::BIGINT AS participants_selected FROM (SELECT scope_id, 1 AS n, 0 AS k FROM g UNION ALL SELECT scope_id, 0, 1 FROM p) GROUP BY 1),
 b AS (SELECT scope_id, metric, count(DISTINCT game_id) AS gc, count(DISTINCT participant_id) AS pc FROM h GROUP BY 1, 2)
 SELECT scope_id, metric, games_selected, coalesce(gc, 0)::BIGINT AS games_contributing, participants_selected, coalesce(pc, 0)::BIGINT AS participants_contributing FROM a CROSS JOIN m LEFT JOIN b USING (scope_id, metric)""")
 def heatmap_summary(spark, d):
-    return heatmap.summary(*_heat(spark, d))
+    return heatmap.summary(*_heat(spark, d), adapt(spark, d, A.GAMES))
 
 
 @query("heatmap_groups", f"""WITH {_SCOPE} SELECT scope_id, metric, team_key, count(*) AS cells, sum(value)::BIGINT AS value, CASE team_key WHEN 'team:none' THEN 'No team' ELSE 'Team ' || split_part(team_key, ':', 2) END AS label,
@@ -141,9 +152,13 @@ def heatmap_top_cells(spark, d):
     return c.withColumn("_r", F.row_number().over(w)).where("_r <= 10").drop("_r")
 
 
-@query("heatmap_faults", f"WITH {_SCOPE} SELECT DISTINCT scope_id, 'invalid_input_contract' AS code FROM hc WHERE px NOT BETWEEN -60 AND 60 OR py NOT BETWEEN -60 AND 60 UNION ALL SELECT DISTINCT scope_id, 'rollup_cell_limit_exceeded' FROM hc GROUP BY scope_id, metric, team_key HAVING count(*) > 40 UNION ALL SELECT DISTINCT scope_id, 'rollup_group_limit_exceeded' FROM (SELECT DISTINCT scope_id, metric, team_key FROM hc) GROUP BY scope_id, metric HAVING count(*) > 2")
-def heatmap_faults(spark, d):
-    return heatmap.faults(heatmap.cells(_heat(spark, d)[0]), -60, 60, 40, 2)  # limits that the small tables pass
+def faults_sql(low: int = heatmap.PLANE_LOW, high: int = heatmap.PLANE_HIGH, cells: int = heatmap.MOST_CELLS, groups: int = heatmap.MOST_GROUPS) -> str:
+    return f"WITH {_SCOPE} SELECT DISTINCT scope_id, 'invalid_input_contract' AS code FROM hc WHERE px NOT BETWEEN {low} AND {high} OR py NOT BETWEEN {low} AND {high} UNION ALL SELECT DISTINCT scope_id, 'rollup_cell_limit_exceeded' FROM hc GROUP BY scope_id, metric, team_key HAVING count(*) > {cells} UNION ALL SELECT DISTINCT scope_id, 'rollup_group_limit_exceeded' FROM (SELECT DISTINCT scope_id, metric, team_key FROM hc) GROUP BY scope_id, metric HAVING count(*) > {groups}"
+
+
+@query("heatmap_faults", faults_sql())
+def heatmap_faults(spark, d, *limits):
+    return heatmap.faults(heatmap.cells(_heat(spark, d)[0]), *limits)
 
 
 # ---- regions ----
@@ -156,7 +171,8 @@ _REGION = f"""{_SCOPE}, bx(region_id, ri, bi, size, x0, x1, y0, y1, z0, z1) AS (
 cg AS (SELECT * FROM g WHERE has_artifact AND ticks_per_second = 30 AND coalesce(status, 'available') = 'available'),
 a AS (SELECT cg.scope_id, v.game_id, v.slot, cx, cy, cz, ticks, cg.cell_size, participant_id, team FROM v JOIN cg USING (game_id) LEFT JOIN p ON p.scope_id = cg.scope_id AND p.game_id = v.game_id AND p.slot = v.slot),
 t AS (SELECT DISTINCT a.scope_id, a.game_id, a.slot, cx, cy, cz, region_id FROM a JOIN bx ON size = cell_size AND cx >= x0 AND cx < x1 AND cy >= y0 AND cy < y1 AND cz >= z0 AND cz < z1 WHERE participant_id IS NOT NULL),
-w AS (SELECT a.*, unnest(['all', CASE WHEN team IS NULL THEN 'team:none' ELSE 'team:' || team END]) AS group_key FROM a WHERE participant_id IS NOT NULL),
+w AS (SELECT a.*, unnest(['all', CASE WHEN team IS NULL THEN 'team:none' ELSE 'team:' || team END]) AS group_key FROM a WHERE participant_id IS NOT NULL
+  UNION ALL BY NAME SELECT DISTINCT scope_id, 0::BIGINT AS ticks, 'all' AS group_key FROM g),
 gt AS (SELECT scope_id, group_key, sum(ticks)::BIGINT AS observed FROM w GROUP BY ALL),
 rt AS (SELECT w.scope_id, group_key, region_id, sum(ticks)::BIGINT AS ticks FROM w JOIN t USING (scope_id, game_id, slot, cx, cy, cz) GROUP BY ALL)"""
 
@@ -164,19 +180,21 @@ rt AS (SELECT w.scope_id, group_key, region_id, sum(ticks)::BIGINT AS ticks FROM
 def _matched(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     games, p = adapt(spark, d, A.GAMES), adapt(spark, d, A.PARTICIPANTS)
     cells = occupancy.voxels(_classified(spark, d)).drop("first")
-    return regions.match(regions.assign(games, p, cells), _CONF, _SIZES), games, p
+    return regions.match(regions.assign(games, p, cells), _CONF), games, p
 
 
 @query("region_groups", f"WITH {_REGION} SELECT scope_id, group_key, observed, CASE group_key WHEN 'all' THEN 'All players' WHEN 'team:none' THEN 'No team' ELSE 'Team ' || split_part(group_key, ':', 2) END AS label, CASE group_key WHEN 'all' THEN -1073741824 WHEN 'team:none' THEN 1073741824 ELSE split_part(group_key, ':', 2)::INT END AS position FROM gt")
 def region_groups(spark, d):
-    return regions.group_totals(regions.grouped(_matched(spark, d)[0]))
+    m, games, _ = _matched(spark, d)
+    return regions.group_totals(regions.grouped(m, games))
 
 
 @query("region_totals", f"""WITH {_REGION}, z AS (SELECT gt.*, region_id, coalesce(ticks, 0) AS ticks FROM gt CROSS JOIN (SELECT DISTINCT region_id FROM bx) LEFT JOIN rt USING (scope_id, group_key, region_id))
 SELECT scope_id, group_key, region_id, ticks::BIGINT AS ticks, ticks / 30.0::DOUBLE AS seconds, CASE WHEN observed > 0 THEN ticks::DOUBLE / observed END AS share_of_group, CASE WHEN al > 0 THEN ticks::DOUBLE / al END AS share_of_region
 FROM z JOIN (SELECT scope_id, region_id, ticks AS al FROM z WHERE group_key = 'all') USING (scope_id, region_id)""")
 def region_totals(spark, d):
-    return regions.region_totals(regions.grouped(_matched(spark, d)[0]), _CONF)
+    m, games, _ = _matched(spark, d)
+    return regions.region_totals(regions.grouped(m, games), _CONF)
 
 
 @query("region_collections", f"""WITH {_REGION}, n AS (SELECT scope_id, game_id, slot, cx, cy, cz, collection_id, count(*) AS k FROM t JOIN mem USING (region_id) GROUP BY ALL),
@@ -184,7 +202,8 @@ z AS (SELECT w.scope_id, group_key, collection_id, sum(ticks * k) AS m, sum(tick
 SELECT gt.scope_id, gt.group_key, c.collection_id, c.mode, coalesce(m, 0)::BIGINT AS member_ticks, coalesce(u, 0)::BIGINT AS union_ticks, (observed - coalesce(u, 0))::BIGINT AS outside_ticks, coalesce(o, 0)::BIGINT AS overlap_ticks,
 CASE WHEN observed > 0 THEN (observed - coalesce(u, 0))::DOUBLE / observed END AS outside_share FROM gt CROSS JOIN (SELECT DISTINCT collection_id, mode FROM mem) c LEFT JOIN z ON z.scope_id = gt.scope_id AND z.group_key = gt.group_key AND z.collection_id = c.collection_id""")
 def region_collections(spark, d):
-    return regions.collection_totals(regions.grouped(_matched(spark, d)[0]), _CONF)
+    m, games, _ = _matched(spark, d)
+    return regions.collection_totals(regions.grouped(m, games), _CONF)
 
 
 _CHECKS = """f AS (SELECT a.scope_id, a.game_id, a.slot, cx, cy, cz, ri, coalesce(min(CASE WHEN cx >= x0 AND cx < x1 AND cy >= y0 AND cy < y1 AND cz >= z0 AND cz < z1 THEN bi + 1 END), count(*)) AS k FROM a JOIN bx ON size = cell_size WHERE participant_id IS NOT NULL GROUP BY ALL)"""
@@ -201,9 +220,13 @@ def region_coverage(spark, d):
     return regions.coverage(games, p, m).withColumn("cell_sizes", F.array_join(F.transform("cell_sizes", lambda s: s.cast("string")), ","))
 
 
-@query("region_budget", f"WITH {_REGION} SELECT scope_id, (count(*) * {_CONF.boxes})::BIGINT AS work, 'region_membership_limit_exceeded' AS code FROM a WHERE participant_id IS NOT NULL GROUP BY 1 HAVING count(*) * {_CONF.boxes} > 1000")
-def region_budget(spark, d):
-    return regions.over_budget(_matched(spark, d)[0], _CONF, 1000)
+def budget_sql(limit: int = regions.MOST_CHECKS) -> str:
+    return f"WITH {_REGION} SELECT scope_id, (count(*) * {_CONF.boxes})::BIGINT AS work, 'region_membership_limit_exceeded' AS code FROM a WHERE participant_id IS NOT NULL GROUP BY 1 HAVING count(*) * {_CONF.boxes} > {limit}"
+
+
+@query("region_budget", budget_sql())
+def region_budget(spark, d, *limits):
+    return regions.over_budget(_matched(spark, d)[0], _CONF, *limits)
 
 
 # ---- logs ----
@@ -300,7 +323,7 @@ def alarm_labels(spark, d):
 
 _INT = "CAST(trunc(TRY_CAST({0} AS DOUBLE)) AS BIGINT)"
 _P = f"pl AS ({A.PLAYERS}), q AS (SELECT *, CAST(coalesce({_INT.format('player_index')}, pos) AS INT) AS slot FROM pl), fi AS (SELECT * FROM q WHERE moment = 'first'), la AS (SELECT * FROM q WHERE moment = 'last')"
-_META = "SELECT l_orderkey AS game_id, CAST(l_linenumber - 1 AS INT) AS slot, CAST(max(l_partkey) AS BIGINT) AS k FROM lineitem WHERE l_linenumber % 2 = 1 GROUP BY 1, 2"
+_META = "SELECT l_orderkey AS game_id, CAST(l_linenumber - 1 AS INT) AS slot, CAST(max(l_partkey) AS BIGINT) AS k FROM lineitem GROUP BY 1, 2"
 
 
 def _meta(spark: SparkSession, d: str) -> DataFrame:
@@ -362,7 +385,7 @@ e1 AS (SELECT game_id, CAST(coalesce({_INT.format('slot_index')}, {_INT.format('
 cx AS (SELECT coalesce(e1.game_id, n1.game_id, t1.game_id) AS game_id, coalesce(e1.slot, n1.slot, t1.slot) AS slot, {', '.join(f'coalesce(e1.{c}, n1.{c}, t1.{c}) AS {c}' for c in replay.CONTEXT)}
   FROM n1 FULL JOIN t1 ON n1.game_id = t1.game_id AND n1.slot = t1.slot FULL JOIN e1 ON e1.game_id = coalesce(n1.game_id, t1.game_id) AND e1.slot = coalesce(n1.slot, t1.slot)),
 ctx AS (SELECT * FROM cx WHERE {' OR '.join(f'{c} IS NOT NULL' for c in replay.CONTEXT)})"""
-_MACHINES = "SELECT o_orderkey AS game_id, CAST(o_orderkey % 2 AS INT) AS machine FROM orders WHERE o_orderkey % 4 <> 1"
+_MACHINES = "SELECT o_orderkey AS game_id, CAST(o_orderkey % 2 AS INT) AS machine FROM orders"
 
 
 def _contexts(spark: SparkSession, d: str) -> DataFrame:
@@ -379,10 +402,14 @@ def replay_host_style(spark, d):
     return replay.host_style(_contexts(spark, d))
 
 
-@query("replay_graph_players", f"""WITH {_CONTEXTS}, b AS (SELECT fi.game_id, fi.slot, fi.pos, {', '.join(f"CASE WHEN regexp_full_match(trim(fi.{c}), '[0-9]+') THEN TRY_CAST(fi.{c} AS BIGINT) END AS {c}" for c in ('kills', 'deaths', 'assists'))} FROM fi LEFT JOIN (SELECT game_id, slot FROM ctx WHERE is_hostman) h ON h.game_id = fi.game_id AND h.slot = fi.slot WHERE h.slot IS NULL AND fi.slot >= 0 AND {_BOOL.format('fi.is_hostman')} IS NOT TRUE)
-SELECT game_id, slot, kills, deaths, assists FROM (SELECT * FROM b WHERE coalesce(kills, deaths, assists) IS NOT NULL QUALIFY row_number() OVER (PARTITION BY game_id, slot ORDER BY pos) = 1) QUALIFY row_number() OVER (PARTITION BY game_id ORDER BY pos) <= 3""")
-def replay_graph_players(spark, d):
-    return replay.graph_players(adapt(spark, d, A.PLAYERS), replay.hosts(_contexts(spark, d)), 3)
+def graph_sql(most: int = 16) -> str:
+    return f"""WITH {_CONTEXTS}, b AS (SELECT fi.game_id, fi.slot, fi.pos, {', '.join(f"CASE WHEN regexp_full_match(trim(fi.{c}), '[0-9]+') THEN TRY_CAST(fi.{c} AS BIGINT) END AS {c}" for c in ('kills', 'deaths', 'assists'))} FROM fi LEFT JOIN (SELECT game_id, slot FROM ctx WHERE is_hostman) h ON h.game_id = fi.game_id AND h.slot = fi.slot WHERE h.slot IS NULL AND fi.slot >= 0 AND {_BOOL.format('fi.is_hostman')} IS NOT TRUE)
+SELECT game_id, slot, kills, deaths, assists FROM (SELECT * FROM b WHERE coalesce(kills, deaths, assists) IS NOT NULL QUALIFY row_number() OVER (PARTITION BY game_id, slot ORDER BY pos) = 1) QUALIFY row_number() OVER (PARTITION BY game_id ORDER BY pos) <= {most}"""
+
+
+@query("replay_graph_players", graph_sql())
+def replay_graph_players(spark, d, *limits):
+    return replay.graph_players(adapt(spark, d, A.PLAYERS), replay.hosts(_contexts(spark, d)), *limits)
 
 
 @query("replay_first_last", "SELECT conv_id AS game_id, count(*) AS n_ticks, min_by(role, turn) AS first_role, max_by(role, turn) AS last_role, min_by(length(text), turn) AS first_length, max_by(length(text), turn) AS last_length FROM conversations GROUP BY 1")
@@ -416,10 +443,9 @@ def meta_sums(spark, d):
 _UNSAFE = r"""(lower({0}) LIKE '%http://%' OR lower({0}) LIKE '%https://%' OR lower({0}) LIKE '%x-amz-%' OR regexp_matches({0}, '^([a-z]:[\\/]|\\\\|/(tmp|var|home|users|mnt)/)', 'i') OR regexp_matches({0}, '^([0-9]{{1,3}}\.){{3}}[0-9]{{1,3}}(:[0-9]{{1,5}})?$') OR regexp_matches({0}, '^(0x)?[0-9a-f]{{32,}}$', 'i'))"""
 
 
-@query("settings_texts", rf"""WITH x AS (SELECT id, k, left(nullif(regexp_replace(t, '^\s+|\s+$', '', 'g'), ''), 256) AS t FROM ({A.TEXTS})), y AS (SELECT id, k, CASE WHEN NOT {_UNSAFE.format('t')} THEN t END AS safe, t FROM x)
-SELECT id, k, safe, CASE WHEN NOT regexp_matches(safe, '^(unknown|unknown\s*<[^>]+>|unknown\s+[-+]?(0x[0-9a-f]+|[0-9]+))$', 'i') THEN safe END AS authoritative, CASE WHEN lower(t) IN ('ctf', 'slayer', 'oddball', 'king', 'race') THEN lower(t) END AS mode, CASE WHEN regexp_matches(t, '^[a-z0-9][a-z0-9_]*$') THEN t END AS release_key FROM y""")
-def settings_texts(spark, d):
-    return _texts(spark, d, A.TEXTS)
+def _texts_sql(rows: str) -> str:
+    return rf"""WITH w AS (SELECT id, k, nullif(regexp_replace(t, '^\s+|\s+$', '', 'g'), '') AS u FROM ({rows})), x AS (SELECT *, left(u, 256) AS t FROM w), y AS (SELECT id, k, CASE WHEN NOT {_UNSAFE.format('t')} THEN t END AS safe, u FROM x)
+SELECT id, k, safe, CASE WHEN NOT regexp_matches(safe, '^(unknown|unknown\s*<[^>]+>|unknown\s+[-+]?(0x[0-9a-f]+|[0-9]+))$', 'i') THEN safe END AS authoritative, CASE WHEN lower(u) IN ('ctf', 'slayer', 'oddball', 'king', 'race') THEN lower(u) END AS mode, CASE WHEN regexp_matches(u, '^[a-z0-9][a-z0-9_]*$') THEN u END AS release_key FROM y"""
 
 
 def _texts(spark, d, sql):
@@ -427,10 +453,14 @@ def _texts(spark, d, sql):
     return adapt(spark, d, sql).select("id", "k", S.safe_text(t).alias("safe"), S.authoritative(t).alias("authoritative"), S.known_mode(t).alias("mode"), S.release_key(t).alias("release_key"))
 
 
-@query("settings_document_texts", rf"""WITH w AS (SELECT id, k, nullif(regexp_replace(t, '^\s+|\s+$', '', 'g'), '') AS u FROM ({A.DOCUMENT_TEXTS})), x AS (SELECT *, left(u, 256) AS t FROM w), y AS (SELECT id, k, CASE WHEN NOT {_UNSAFE.format('t')} THEN t END AS safe, u FROM x)
-SELECT id, k, safe, CASE WHEN NOT regexp_matches(safe, '^(unknown|unknown\s*<[^>]+>|unknown\s+[-+]?(0x[0-9a-f]+|[0-9]+))$', 'i') THEN safe END AS authoritative, CASE WHEN lower(u) IN ('ctf', 'slayer', 'oddball', 'king', 'race') THEN lower(u) END AS mode, CASE WHEN regexp_matches(u, '^[a-z0-9][a-z0-9_]*$') THEN u END AS release_key FROM y""")
+@query("settings_texts", _texts_sql(A.TEXTS))
+def settings_texts(spark, d):
+    """URLs of all pages, whole texts and sources of all documents; only safe and authoritative texts are cut."""
+    return _texts(spark, d, A.TEXTS)
+
+
+@query("settings_document_texts", _texts_sql(A.DOCUMENT_TEXTS))
 def settings_document_texts(spark, d):
-    """Whole texts of all documents; only safe and authoritative texts are cut."""
     return _texts(spark, d, A.DOCUMENT_TEXTS)
 
 

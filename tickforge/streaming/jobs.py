@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickforge.operators import occupancy as O
+from tickforge.operators import replay as R
 from tickforge.sources import replays as S
 
 
 def ingest(spark: SparkSession, source: str, out: str, checkpoint: str, cell_size: float = 0.5, archive: str | None = None) -> StreamingQuery:
-    """Read new replay files (JSON, .gz, .zst), bin their samples and append voxels, discards and dead letters.
+    """Read new replay files (JSON, .gz, .zst), bin their samples and append voxels (host machine players left out), discards and dead letters.
 
     Every table carries the batch id and is written under it, so that a batch that is tried again replaces itself.
     A bad file becomes a dead letter and fails nothing else.  With archive, files that were read are moved there.
@@ -25,8 +26,10 @@ def ingest(spark: SparkSession, source: str, out: str, checkpoint: str, cell_siz
         good = docs.where("error is null")
         classified = O.classify(S.player_samples(good))
         cells = O.capped(O.voxels(classified, cell_size))
-        kept = O.saturated(cells.where("cap is null")).select("game_id", "slot", "cx", "cy", "cz", "ticks")
-        for name, df in (("voxels", kept), ("discards", O.discards(classified, cells)), ("dead_letters", docs.where("error is not null").select("file", "error"))):
+        contexts = R.merge_contexts(R.network_contexts(S.network_players(good)), R.tick_contexts(S.end_players(good), S.machines(good)), R.explicit_contexts(S.explicit_players(good)))
+        own, gone = O.exclude_slots(cells.where("cap is null").drop("cap"), R.hosts(contexts))
+        kept = O.saturated(own).select("game_id", "slot", "cx", "cy", "cz", "ticks")
+        for name, df in (("voxels", kept), ("discards", O.discards(classified, cells, gone)), ("dead_letters", docs.where("error is not null").select("file", "error"))):
             df.write.mode("overwrite").parquet(f"{out}/{name}/batch={number}")
         docs.unpersist()
 
