@@ -26,6 +26,12 @@ def as_text(v: Column) -> Column:
     return F.when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.lit(None)).otherwise(F.try_variant_get(v, "$", "string"))
 
 
+def as_whole(v: Column) -> Column:
+    """as_text for fields that hold whole numbers: of texts only plain integers count, numbers may have a fraction."""
+    t = as_text(v)
+    return F.when((F.schema_of_variant(v) != "STRING") | text(t).rlike(r"^[-+]?[0-9]+$"), t)
+
+
 def text(c: Column) -> Column:
     """Trimmed text; empty is null."""
     return F.nullif(F.btrim(c.cast("string"), F.lit(_BLANK)), F.lit(""))

@@ -67,7 +67,7 @@ def fact_key(c: Column) -> Column:
     return F.when(t.rlike("^[a-z][a-z0-9_]*$"), t)
 
 
-def _viewed(df: DataFrame, sql: Callable[[str], str]) -> DataFrame:
+def viewed(df: DataFrame, sql: Callable[[str], str]) -> DataFrame:
     """SQL over df under a name of its own, which is gone afterwards."""
     name = f"tickforge_{uuid.uuid4().hex}"
     df.createOrReplaceTempView(name)
@@ -87,7 +87,7 @@ def flatten(df: DataFrame, doc: str, by: str = "game_id", depth: int = DEPTH) ->
     out = None
     for _ in range(depth):
         obj = level.where(F.schema_of_variant("v").startswith("OBJECT"))
-        rows = _viewed(obj, lambda name: f"SELECT l.*, e.key AS k, e.value AS x, e.pos AS n FROM {name} l, LATERAL variant_explode(v) e")
+        rows = viewed(obj, lambda name: f"SELECT l.*, e.key AS k, e.value AS x, e.pos AS n FROM {name} l, LATERAL variant_explode(v) e")
         kind = F.schema_of_variant("x")
         rows = rows.withColumn("k", safe_key(F.col("k"))).where(F.col("k").isNotNull() & (kind != "VOID"))
         rows = rows.withColumn("r", F.row_number().over(Window.partitionBy("_doc", "path").orderBy("n"))).where(F.col("r") <= MOST_ITEMS)
@@ -121,7 +121,7 @@ def spawn_points(df: DataFrame, doc: str, by: str = "game_id", most: int = 512)
 
     A record is {x, y, z}, or holds such an object or a list under position, translation, origin or location, or is a
     list itself; the first shape that gives three finite numbers counts."""
-    rows = _viewed(df, lambda name: f"SELECT `{by}`, e.pos, e.value AS r FROM {name}, LATERAL variant_explode({doc}) e WHERE schema_of_variant({doc}) LIKE 'ARRAY%'")
+    rows = viewed(df, lambda name: f"SELECT `{by}`, e.pos, e.value AS r FROM {name}, LATERAL variant_explode({doc}) e WHERE schema_of_variant({doc}) LIKE 'ARRAY%'")
 
     def at(paths: tuple[str, str, str]) -> Column:
         xyz = [F.try_variant_get("r", p, "string").try_cast("double") for p in paths]

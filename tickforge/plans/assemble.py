@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -12,8 +13,8 @@ from tickforge.operators import replay as R
 from tickforge.sources import replays as D
 
 
-def tables(docs: DataFrame, cell_size: float = 0.5, slot_cells: int = O.SLOT_CELLS, game_cells: int = O.GAME_CELLS, hold: Callable[[DataFrame], DataFrame] = DataFrame.persist) -> dict[str, DataFrame]:
-    """All tables of replay documents (D.read_replays), by name.
+class Tables:
+    """The tables of replay documents (D.read_replays); each is planned when it is first asked for.
 
     Slots of host machine players are excluded after the caps, so they use them up; the excluded samples count as
     `hostman`.  Files with an error make no row but in dead_letters.
@@ -22,32 +23,100 @@ def tables(docs: DataFrame, cell_size: float = 0.5, slot_cells: int = O.SLOT_CEL
     documents are parsed once for each of those and not for each table.  The default caches them; for large inputs give
     a function that writes a table and reads it back.
     """
-    good = D.game_key(docs.where("error is null"))
-    players, ends = hold(D.end_players(good)), hold(D.game_ends(good))
-    contexts = hold(R.merge_contexts(R.network_contexts(D.network_players(good)), R.tick_contexts(players, D.machines(good)), R.explicit_contexts(D.explicit_players(good))))
-    hosts = R.hosts(contexts)
-    people = hold(R.participants(players, D.meta_players(good)))
-    teams = hold(R.team_stats(people))
-    games = hold(R.games(ends, R.winners(teams)).join(R.release(ends), "game_id").join(R.host_style(people.select("game_id", "slot").join(contexts, ["game_id", "slot"], "left")), "game_id", "left"))
-    classified = O.classify(hold(D.player_samples(good)))
-    capped = hold(O.capped(O.voxels(classified, cell_size), slot_cells, game_cells))
-    kept, gone = O.exclude_slots(capped.where("cap is null").drop("cap"), hosts)
-    voxels = O.saturated(kept).drop("first")
-    facts = hold(S.facts(S.flatten(good, "gametype_settings")))
-    return {
-        "games": games,
-        "participants": people,
-        "contexts": contexts,
-        "team_stats": teams,
-        "game_facts": facts,
-        "participant_facts": R.participant_facts(people, contexts),
-        "graph_coverage": R.graph_coverage(ends),
-        "graph_players": R.graph_players(players, hosts),
-        "spawn_points": S.spawn_points(D.spawns(good), "spawns"),
-        "voxels": voxels,
-        "discards": O.discards(classified, capped, gone),
-        "coverage": O.coverage(voxels, classified),
-        "event_counts": D.event_counts(good),
-        "documents": R.documents(games, people, teams, facts),
-        "dead_letters": docs.where("error is not null").select("file", "error"),
-    }
+
+    NAMES = ("games", "participants", "contexts", "team_stats", "game_facts", "participant_facts", "graph_coverage", "graph_players", "spawn_points", "voxels", "discards", "coverage", "event_counts", "documents", "dead_letters")
+
+    def __init__(self, docs: DataFrame, cell_size: float = 0.5, slot_cells: int = O.SLOT_CELLS, game_cells: int = O.GAME_CELLS, hold: Callable[[DataFrame], DataFrame] = DataFrame.persist):
+        self.docs, self.cell_size, self.caps, self.hold = docs, cell_size, (slot_cells, game_cells), hold
+        self.good = D.game_key(docs.where("error is null"))
+
+    @cached_property
+    def players(self) -> DataFrame:
+        return self.hold(D.end_players(self.good))
+
+    @cached_property
+    def ends(self) -> DataFrame:
+        return self.hold(D.game_ends(self.good))
+
+    @cached_property
+    def contexts(self) -> DataFrame:
+        return self.hold(R.merge_contexts(R.network_contexts(D.network_players(self.good)), R.tick_contexts(self.players, D.machines(self.good)), R.explicit_contexts(D.explicit_players(self.good))))
+
+    @cached_property
+    def hosts(self) -> DataFrame:
+        return R.hosts(self.contexts)
+
+    @cached_property
+    def participants(self) -> DataFrame:
+        return self.hold(R.participants(self.players, D.meta_players(self.good)))
+
+    @cached_property
+    def team_stats(self) -> DataFrame:
+        return self.hold(R.team_stats(self.participants))
+
+    @cached_property
+    def games(self) -> DataFrame:
+        style = R.host_style(self.participants.select("game_id", "slot").join(self.contexts, ["game_id", "slot"], "left"))
+        return self.hold(R.games(self.ends, R.winners(self.team_stats)).join(R.release(self.ends), "game_id").join(style, "game_id", "left"))
+
+    @cached_property
+    def classified(self) -> DataFrame:
+        return O.classify(self.hold(D.player_samples(self.good)))
+
+    @cached_property
+    def capped(self) -> DataFrame:
+        return self.hold(O.capped(O.voxels(self.classified, self.cell_size), *self.caps))
+
+    @cached_property
+    def excluded(self) -> tuple[DataFrame, DataFrame]:
+        return O.exclude_slots(self.capped.where("cap is null").drop("cap"), self.hosts)
+
+    @cached_property
+    def voxels(self) -> DataFrame:
+        return O.saturated(self.excluded[0]).drop("first")
+
+    @cached_property
+    def discards(self) -> DataFrame:
+        return O.discards(self.classified, self.capped, self.excluded[1])
+
+    @cached_property
+    def coverage(self) -> DataFrame:
+        return O.coverage(self.voxels, self.classified)
+
+    @cached_property
+    def game_facts(self) -> DataFrame:
+        return self.hold(S.facts(S.flatten(self.good, "gametype_settings")))
+
+    @cached_property
+    def participant_facts(self) -> DataFrame:
+        return R.participant_facts(self.participants, self.contexts)
+
+    @cached_property
+    def graph_coverage(self) -> DataFrame:
+        return R.graph_coverage(self.ends)
+
+    @cached_property
+    def graph_players(self) -> DataFrame:
+        return R.graph_players(self.players, self.hosts)
+
+    @cached_property
+    def spawn_points(self) -> DataFrame:
+        return S.spawn_points(D.spawns(self.good), "spawns")
+
+    @cached_property
+    def event_counts(self) -> DataFrame:
+        return D.event_counts(self.good)
+
+    @cached_property
+    def documents(self) -> DataFrame:
+        return R.documents(self.games, self.participants, self.team_stats, self.game_facts)
+
+    @cached_property
+    def dead_letters(self) -> DataFrame:
+        return self.docs.where("error is not null").select("file", "error")
+
+
+def tables(docs: DataFrame, cell_size: float = 0.5, slot_cells: int = O.SLOT_CELLS, game_cells: int = O.GAME_CELLS, hold: Callable[[DataFrame], DataFrame] = DataFrame.persist) -> dict[str, DataFrame]:
+    """All Tables of replay documents by name."""
+    made = Tables(docs, cell_size, slot_cells, game_cells, hold)
+    return {name: getattr(made, name) for name in Tables.NAMES}

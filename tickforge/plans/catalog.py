@@ -11,6 +11,7 @@ from tickforge.functions import coerce as C
 from tickforge.functions import sanitise as S
 from tickforge.operators import alarms, heatmap, logquery, occupancy, regions, replay
 from tickforge.plans import adapters as A
+from tickforge.plans import assemble, documents
 from tickforge.plans.adapters import adapt, duck_sql
 from tickforge.sinks import generations
 
@@ -438,6 +439,30 @@ def meta_sums(spark, d):
     return spark.read.parquet(f"{d}/events.parquet").select("event_id", replay.sum_numbers(m).alias("numbers"), replay.sum_events(m).alias("events"), C.tick_seconds(F.col("event_id")).alias("seconds"))
 
 
+# ---- replay documents ----
+
+#: Columns of a table that its query returns, where it does not return all.
+_COLUMNS = {
+    "games": ["game_id", "map_engine_name", "map_short_name", "game_type", "variant_name", "status", "started_at", "duration_seconds", "winning_team"],
+    "participants": ["game_id", "slot", "team", "name", "kills", "deaths", "suicides", "score", "damage_dealt"],
+    "teams": ["game_id", "team", "score", "players"],
+    "contexts": ["game_id", "slot", "is_hostman"],
+    "event_counts": ["game_id", "ticks", "events"],
+}
+
+
+def _document(table: str) -> None:
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        made = getattr(assemble.Tables(documents.parsed(spark, d), hold=lambda df: df), "team_stats" if table == "teams" else table)
+        return made.select(*_COLUMNS.get(table, made.columns))
+
+    query(f"replay_doc_{table}", documents.EXPECTED[table])(run)
+
+
+for _table in documents.EXPECTED:
+    _document(_table)
+
+
 # ---- texts and keys ----
 
 _UNSAFE = r"""(lower({0}) LIKE '%http://%' OR lower({0}) LIKE '%https://%' OR lower({0}) LIKE '%x-amz-%' OR regexp_matches({0}, '^([a-z]:[\\/]|\\\\|/(tmp|var|home|users|mnt)/)', 'i') OR regexp_matches({0}, '^([0-9]{{1,3}}\.){{3}}[0-9]{{1,3}}(:[0-9]{{1,5}})?$') OR regexp_matches({0}, '^(0x)?[0-9a-f]{{32,}}$', 'i'))"""

@@ -11,11 +11,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickforge.functions import coerce as C
+from tickforge.functions.sanitise import viewed
 
 #: The parts of a replay document that are read; fields that may have any type are VARIANT.
 PLAYER = "STRUCT<player_index: VARIANT, local_player: VARIANT, name: VARIANT, player_name: VARIANT, team: VARIANT, score: VARIANT, ctf_score: VARIANT, kills: VARIANT, deaths: VARIANT, assists: VARIANT, suicides: VARIANT, team_kills: VARIANT, player_quit: VARIANT, derived_stats: STRUCT<is_host: VARIANT, is_hostman: VARIANT>, player_object_data: STRUCT<x: VARIANT, y: VARIANT, z: VARIANT>>"
 TICK = f"STRUCT<multiplayer_map_name: STRING, game_type: VARIANT, variant: VARIANT, current_time: STRING, start_time: STRING, game_id: VARIANT, game_ended_this_tick: BOOLEAN, map_info: VARIANT, game_time_info: VARIANT, network_game_client: VARIANT, spawns: VARIANT, players: ARRAY<{PLAYER}>>"
 REPLAY = f"summary STRUCT<game_id: VARIANT, is_full_game: BOOLEAN, recording_started: STRING, recording_ended: STRING, game_duration_ingame: STRING, ticks_elapsed: BIGINT, ticks_recorded: BIGINT, ticks_dropped: BIGINT, recording_duration: STRING>, game_meta VARIANT, gametype_settings VARIANT, network_game_client VARIANT, participant_context VARIANT, spawns VARIANT, events ARRAY<VARIANT>, ticks ARRAY<{TICK}>"
+PARTS = ("summary", "game_meta", "gametype_settings", "network_game_client", "participant_context", "spawns", "events", "ticks")
 
 ACCESS_LOG = "ts TIMESTAMP, requestId STRING, requestTime STRING, httpMethod STRING, path STRING, routeKey STRING, protocol STRING, status STRING, responseLength STRING, responseLatency STRING, integrationStatus STRING, integrationLatency STRING, integrationRequestId STRING, integrationErrorMessage STRING, errorMessage STRING, errorMessageString STRING, errorResponseType STRING, authorizerError STRING, sourceIp STRING, userAgent STRING, domainName STRING, stage STRING, apiId STRING, accountId STRING, extendedRequestId STRING"
 
@@ -49,11 +51,14 @@ def read_replays(spark: SparkSession, path: str) -> DataFrame:
                 errors.append(error)
             yield pd.DataFrame({"file": part["file"], "doc": docs, "error": errors})
 
-    rows = text.unionByName(zipped.mapInPandas(members, "file string, doc string, error string"))
+    return parse(text.unionByName(zipped.mapInPandas(members, "file string, doc string, error string")))
+
+
+def parse(rows: DataFrame) -> DataFrame:
+    """Documents (file, doc as text, error) as the REPLAY columns; a document that is no replay gets nulls and error set."""
     parsed = rows.withColumn("r", F.from_json("doc", f"{REPLAY}, _bad STRING", {"columnNameOfCorruptRecord": "_bad"}))
     error = F.coalesce("error", F.when(F.col("r").isNull() | F.col("r._bad").isNotNull(), F.lit("bad_json")))
-    names = [c.split(" ", 1)[0] for c in ("summary ", "game_meta ", "gametype_settings ", "network_game_client ", "participant_context ", "spawns ", "events ", "ticks ")]
-    return parsed.select("file", error.alias("error"), *[F.when(error.isNull(), F.col(f"r.{n}")).alias(n) for n in names])
+    return parsed.select("file", error.alias("error"), *[F.when(error.isNull(), F.col(f"r.{n}")).alias(n) for n in PARTS])
 
 
 def game_key(replays: DataFrame) -> DataFrame:
@@ -82,8 +87,8 @@ def end_players(replays: DataFrame) -> DataFrame:
     """Players of the first and the last tick as text columns: what operators.replay takes."""
     ends = replays.where(F.size("ticks") > 0).select("game_id", F.explode(F.array(F.struct(F.lit("first").alias("moment"), F.get("ticks", F.lit(0)).alias("t")), F.struct(F.lit("last").alias("moment"), F.element_at("ticks", -1).alias("t")))).alias("e"))
     p = ends.select("game_id", "e.moment", F.posexplode("e.t.players").alias("pos", "p"))
-    names = ["player_index", "local_player", "name", "player_name", "team", "score", "ctf_score", "kills", "deaths", "assists", "suicides", "team_kills"]
-    return p.select("game_id", "moment", "pos", *[C.as_text(F.col(f"p.{n}")).alias(n) for n in names], F.col("p.team").isNotNull().alias("team_given"), C.as_text(F.col("p.derived_stats.is_host")).alias("is_host"), C.as_text(F.col("p.derived_stats.is_hostman")).alias("is_hostman"))
+    whole = ("player_index", "local_player", "team", "score", "ctf_score", "kills", "deaths", "assists", "suicides", "team_kills")
+    return p.select("game_id", "moment", "pos", *[C.as_text(F.col(f"p.{n}")).alias(n) for n in ("name", "player_name")], *[C.as_whole(F.col(f"p.{n}")).alias(n) for n in whole], F.col("p.team").isNotNull().alias("team_given"), C.as_text(F.col("p.derived_stats.is_host")).alias("is_host"), C.as_text(F.col("p.derived_stats.is_hostman")).alias("is_hostman"))
 
 
 def event_counts(replays: DataFrame, sample: int = 10) -> DataFrame:
@@ -160,12 +165,10 @@ def read_access_log(spark: SparkSession, path: str) -> DataFrame:
 
 def _exploded(replays: DataFrame, path: str) -> DataFrame:
     """(game_id, pos, key, v) of a VARIANT object or list found by a SQL expression."""
-    view = "_tickforge_docs"
-    replays.createOrReplaceTempView(view)
-    spark = replays.sparkSession
-    return spark.sql(f"SELECT game_id, e.pos, coalesce(e.key, cast(e.pos AS STRING)) AS key, e.value AS v FROM (SELECT game_id, {path} AS doc FROM {view}) d, LATERAL variant_explode(doc) e WHERE doc IS NOT NULL AND NOT is_variant_null(doc)")
+    return viewed(replays, lambda name: f"SELECT game_id, e.pos, coalesce(e.key, cast(e.pos AS STRING)) AS key, e.value AS v FROM (SELECT game_id, {path} AS doc FROM {name}) d, LATERAL variant_explode(doc) e WHERE doc IS NOT NULL AND NOT is_variant_null(doc)")
 
 
+# Names of a player's maps and numbers.
 _MAPS = ("shots_by_weapon", "damage_to_player", "damage_from_player", "shots_by_tick", "kills_by_tick", "deaths_by_tick", "assists_by_tick", "streak_by_tick", "streak_counts_by_amount", "multikills_by_tick", "multikill_counts_by_amount")
 _SCALARS = ("damage_dealt", "damage_received", "camo_count", "overshield_count")
 
@@ -189,19 +192,20 @@ def _network(replays: DataFrame) -> DataFrame:
 def network_players(replays: DataFrame) -> DataFrame:
     """Rows for operators.replay.network_contexts."""
     rows = _exploded(_network(replays), "try_variant_get(network, '$.network_game_data.network_players', 'variant')")
-    return rows.select("game_id", "pos", *[C.as_text(F.try_variant_get("v", f"$.{n}", "variant")).alias(n) for n in ("player_list_index", "machine_index", "controller_index")])
+    return rows.select("game_id", "pos", *[C.as_whole(F.try_variant_get("v", f"$.{n}", "variant")).alias(n) for n in ("player_list_index", "machine_index", "controller_index")])
 
 
 def machines(replays: DataFrame) -> DataFrame:
     """(game_id, machine) that recorded the game."""
-    return _network(replays).select("game_id", C.truncated(C.as_text(F.try_variant_get("network", "$.machine_index", "variant"))).cast("int").alias("machine")).where("machine is not null")
+    return _network(replays).select("game_id", C.truncated(C.as_whole(F.try_variant_get("network", "$.machine_index", "variant"))).cast("int").alias("machine")).where("machine is not null")
 
 
 def explicit_players(replays: DataFrame) -> DataFrame:
     """Rows for operators.replay.explicit_contexts."""
     rows = _exploded(replays, "try_variant_get(participant_context, '$.players', 'variant')")
-    names = ("slot_index", "player_list_index", "player_index", "machine_index", "controller_index", "is_host", "is_hostman", "screen_slot", "screen_layout")
-    return rows.select("game_id", "pos", "key", *[C.as_text(F.try_variant_get("v", f"$.{n}", "variant")).alias(n) for n in names])
+    of = lambda n: F.try_variant_get("v", f"$.{n}", "variant")
+    whole = ("slot_index", "player_list_index", "player_index", "machine_index", "controller_index")
+    return rows.select("game_id", "pos", "key", *[C.as_whole(of(n)).alias(n) for n in whole], *[C.as_text(of(n)).alias(n) for n in ("is_host", "is_hostman", "screen_slot", "screen_layout")])
 
 
 def game_ends(replays: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ def ingest(spark: SparkSession, source: str, out: str, checkpoint: str, cell_siz
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        docs = S.game_key(_parse(batch)).persist()
+        docs = S.game_key(S.parse(batch.withColumn("error", F.lit(None).cast("string")))).persist()
         good = docs.where("error is null")
         classified = O.classify(S.player_samples(good))
         cells = O.capped(O.voxels(classified, cell_size))
@@ -40,13 +40,6 @@ def ingest(spark: SparkSession, source: str, out: str, checkpoint: str, cell_siz
     return files.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def _parse(batch: DataFrame) -> DataFrame:
-    parsed = batch.withColumn("r", F.from_json("doc", f"{S.REPLAY}, _bad STRING", {"columnNameOfCorruptRecord": "_bad"}))
-    error = F.when(F.col("r").isNull() | F.col("r._bad").isNotNull(), F.lit("bad_json"))
-    names = ["summary", "game_meta", "gametype_settings", "network_game_client", "participant_context", "spawns", "events", "ticks"]
-    return parsed.select("file", error.alias("error"), *[F.when(error.isNull(), F.col(f"r.{n}")).alias(n) for n in names])
-
-
 def metric_windows(points: DataFrame, period: int, late: str = "10 minutes") -> DataFrame:
     """Tumbling windows of a stream of points (ts, metric, value); points later than the watermark are dropped."""
     w = F.window("ts", f"{period} seconds")
