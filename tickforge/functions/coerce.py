@@ -28,18 +28,25 @@ def as_text(v: Column) -> Column:
 
 def as_whole(v: Column) -> Column:
     """as_text for fields that hold whole numbers: of texts only plain integers count, numbers may have a fraction."""
-    t = as_text(v)
-    return F.when((F.schema_of_variant(v) != "STRING") | text(t).rlike(r"^[-+]?[0-9]+$"), t)
+    kind, raw = F.schema_of_variant(v), F.try_variant_get(v, "$", "string")
+    odd = kind.rlike("^(?:OBJECT|ARRAY)") | ((kind == "STRING") & ~raw.rlike(r"^[ \t\n\r\x0b\f]*[-+]?[0-9]+[ \t\n\r\x0b\f]*$"))
+    return F.when(~odd, raw)
 
 
 def text(c: Column) -> Column:
     """Trimmed text; empty is null."""
-    return F.nullif(F.btrim(c.cast("string"), F.lit(_BLANK)), F.lit(""))
+    return F.nullif(_trimmed(c), F.lit(""))
+
+
+def _trimmed(c: Column) -> Column:
+    """text for patterns that an empty text does not match; it names its argument once, so plans stay small."""
+    return F.btrim(c.cast("string"), F.lit(_BLANK))
 
 
 def integer(c: Column) -> Column:
     """Integer text as it stands; numbers with a fraction are null, as are values outside 64 bits."""
-    return F.when(text(c).rlike(r"^[-+]?[0-9]+$"), text(c).try_cast("bigint"))
+    t = _trimmed(c)
+    return F.when(t.rlike(r"^[-+]?[0-9]+$"), t.try_cast("bigint"))
 
 
 def truncated(c: Column) -> Column:
@@ -49,13 +56,13 @@ def truncated(c: Column) -> Column:
 
 def number(c: Column) -> Column:
     """A double; NaN and infinities are accepted, suffixes as in 1d and 5f are not."""
-    t = text(c)
+    t = _trimmed(c)
     return F.when(t.rlike(NUMBER), t.try_cast("double"))
 
 
 def boolean(c: Column) -> Column:
     """True and false words in any case, else null."""
-    t = F.lower(text(c))
+    t = F.lower(_trimmed(c))
     return F.when(t.isin("1", "true", "yes", "on", "y", "t"), True).when(t.isin("0", "false", "no", "off", "n", "f"), False)
 
 
