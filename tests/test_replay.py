@@ -195,3 +195,10 @@ def test_scalars(spark, f, cases):
     configure(spark)
     df = spark.createDataFrame([(k,) for k in cases], "t string")
     assert [r[0] for r in df.select(f(F.col("t"))).collect()] == list(cases.values())
+
+
+def test_texts_with_a_fraction_are_no_whole_numbers(spark):
+    docs = ['{"a": 3.9}', '{"a": "3.9"}', '{"a": " 12 "}', '{"a": "1e3"}', '{"a": 1000.0}', '{"a": [1]}', '{"a": {"b": 1}}', '{"a": null}', "{}"]
+    v = F.try_variant_get(F.parse_json("d"), "$.a", "variant")
+    rows = frame(spark, list(enumerate(docs)), "n int, d string").select("n", C.truncated(C.as_whole(v)).alias("v")).orderBy("n").collect()
+    assert [r["v"] for r in rows] == [3, None, 12, None, 1000, None, None, None, None]
