@@ -145,7 +145,7 @@ def test_alarm_counts_periods_not_rows(spark):
     assert got == [(1, False), (1, False), (2, True), (1, False), (1, False), (0, False), (1, False), (2, True)]
     strict = A.Alarm("a", "m", "Maximum", 10, 300, 1, 1, strict=True)
     assert [r.firing for r in A.states(points(spark, (0, 10), (1, 11)), strict).orderBy("start").collect()] == [False, True]
-    assert [(r.firing) for r in A.changes(A.states(points(spark, (0, 1), (1, 11), (2, 11), (3, 1)), strict)).orderBy("start").collect()] == [True, False]
+    assert [(r.firing) for r in A.changes(A.states(points(spark, (0, 1), (1, 11), (2, 11), (3, 1)), strict), 300).orderBy("start").collect()] == [True, False]
     assert A.states(points(spark), a).count() == 0 and len({x.name for x in A.ALARMS}) == 14
 
 

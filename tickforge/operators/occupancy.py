@@ -75,6 +75,21 @@ def saturated(cells: DataFrame) -> DataFrame:
     return cells.withColumn("ticks", F.least(F.col("ticks"), F.lit(COUNTER_LIMIT).cast("bigint")))
 
 
+def faults(cells: DataFrame, slot_cells: int = SLOT_CELLS, game_cells: int = GAME_CELLS) -> DataFrame:
+    """(game_id, code) of games whose finished cells (game_id, slot, cx, cy, cz, ticks) can't be right.
+
+    `invalid_slot`, `invalid_cell` (a null place, or a counter outside 1 to the limit), `duplicate_cell`,
+    `slot_cell_limit` and `global_cell_limit`.  Places are counted before they are gathered by slot and by game.
+    """
+    spots = cells.groupBy("game_id", "slot", "cx", "cy", "cz").agg(F.count("*").alias("n"), F.min(F.coalesce("ticks", F.lit(0))).alias("low"), F.max("ticks").alias("high"))
+    gap = F.col("cx").isNull() | F.col("cy").isNull() | F.col("cz").isNull()
+    flags = {"invalid_slot": ~F.coalesce(F.col("slot").between(0, 63), F.lit(False)), "invalid_cell": gap | (F.col("low") < 1) | (F.col("high") > COUNTER_LIMIT), "duplicate_cell": F.col("n") > 1}
+    slots = spots.groupBy("game_id", "slot").agg(F.count("*").alias("cells"), *[F.max(c).alias(k) for k, c in flags.items()])
+    games = slots.groupBy("game_id").agg(*[F.max(k).alias(k) for k in flags], (F.max("cells") > slot_cells).alias("slot_cell_limit"), (F.sum("cells") > game_cells).alias("global_cell_limit"))
+    codes = F.array_compact(F.array(*[F.when(F.col(k), F.lit(k)) for k in (*flags, "slot_cell_limit", "global_cell_limit")]))
+    return games.select("game_id", F.explode(codes).alias("code"))
+
+
 def discards(classified: DataFrame, capped_cells: DataFrame | None = None, removed: DataFrame | None = None) -> DataFrame:
     """(game_id, reason, n) of everything that no voxel holds; reasons without samples are left out."""
     parts = [classified.where("reason is not null").groupBy("game_id", "reason").agg(F.count("*").alias("n"))]

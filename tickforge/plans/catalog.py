@@ -13,7 +13,7 @@ from tickforge.operators import alarms, heatmap, logquery, occupancy, regions, r
 from tickforge.plans import adapters as A
 from tickforge.plans import assemble, documents
 from tickforge.plans.adapters import adapt, duck_sql
-from tickforge.sinks import generations
+from tickforge.sinks import artifacts, generations
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -556,3 +556,55 @@ _RESULTS = "SELECT CAST(l_quantity AS BIGINT) AS cells, CAST(l_linenumber AS BIG
 def run_totals(spark, d):
     return generations.totals(adapt(spark, d, _RESULTS), ["cells", "games", "failed"])
 
+
+
+_RUNS = """SELECT CASE WHEN l_returnflag = 'A' THEN 'completed' WHEN l_returnflag = 'R' THEN 'stale' ELSE 'failed' END AS status, CAST(l_linenumber AS BIGINT) AS input_games, CAST(l_quantity AS BIGINT) AS output_cells,
+CASE WHEN l_linestatus = 'F' THEN CAST(l_partkey AS BIGINT) ELSE CAST(0 AS BIGINT) END AS region_output_bytes, CAST(l_suppkey AS BIGINT) AS s3_gets FROM lineitem"""
+_COUNTED = {"completed": "count(*) FILTER (WHERE status = 'completed')", "stale": "count(*) FILTER (WHERE status = 'stale')", "failed": "count(*) FILTER (WHERE status = 'failed')", "input_games": "sum(input_games)", "output_cells": "sum(output_cells)", "region_output_bytes": "sum(region_output_bytes)", "region_artifacts_written": "count(*) FILTER (WHERE region_output_bytes > 0)", "s3_gets": "sum(s3_gets)"}
+_UNIT = "CASE WHEN metric LIKE '%Duration' THEN 'Milliseconds' WHEN metric LIKE '%Bytes' THEN 'Bytes' WHEN metric LIKE '%KiB' THEN 'Kilobytes' ELSE 'Count' END"
+
+
+@query("invocation_metrics", f"WITH r AS ({_RUNS}), m AS (" + " UNION ALL ".join(f"SELECT '{m}' AS metric, CAST({_COUNTED.get(c, 'max(0)')} AS BIGINT) AS value FROM r" for m, c in generations.METRICS.items()) + f") SELECT metric, value, {_UNIT} AS unit FROM m")
+def invocation_metrics(spark, d):
+    return generations.metrics(generations.invocation(adapt(spark, d, _RUNS)))
+
+
+# ---- artifacts: rows to packed documents, and from these back to rows ----
+
+
+def _reread(documents: DataFrame, key: str, limits: tuple[int, int]) -> DataFrame:
+    packed = artifacts.pack(documents, key, limits).where("error IS NULL AND length(content) = size_bytes AND sha2(content, 256) = sha256")
+    return artifacts.decode(packed.select(key, "content", F.lit("gzip").alias("encoding")), key, limits[0])
+
+
+def _claims(games: DataFrame) -> DataFrame:
+    return games.select("scope_id").distinct().select("scope_id", F.lit("map").alias("scope_type"), F.col("scope_id").cast("string").alias("map_id"), F.lit(None).cast("string").alias("player_id"), F.lit("validated").alias("eligibility"), F.lit(1).alias("source_revision"))
+
+
+@query("spatial_artifact_rows", f"WITH {_VOXELS} SELECT game_id, CAST(0.5 AS DOUBLE) AS cell_size, slot, cx, cy, cz, ticks FROM v")
+def spatial_artifact_rows(spark, d):
+    cells = occupancy.saturated(occupancy.capped(occupancy.voxels(_classified(spark, d))).where("cap is null"))
+    games = cells.select("game_id").distinct().select("game_id", F.lit(0.5).alias("cell_size"), F.sha2(F.col("game_id").cast("string"), 256).alias("source_sha256"))
+    documents = artifacts.spatial_documents(cells, games, occupancy.coverage(cells, _classified(spark, d)))
+    rows, _ = artifacts.spatial_rows(_reread(documents, "game_id", artifacts.SPATIAL_BYTES), "game_id")
+    return rows.withColumn("game_id", F.col("game_id").cast("bigint"))
+
+
+@query("heatmap_artifact_cells", f"WITH {_SCOPE} SELECT * FROM hc")
+def heatmap_artifact_cells(spark, d):
+    games = adapt(spark, d, A.GAMES)
+    heat, p = _heat(spark, d)
+    documents, _ = artifacts.heatmap_documents(heatmap.cells(heat), heatmap.summary(heat, p, games), _claims(games))
+    return artifacts.heatmap_rows(_reread(documents.select("scope_id", "document"), "scope_id", artifacts.HEATMAP_BYTES))
+
+
+@query("region_artifact_totals", ORACLE["region_totals"])
+def region_artifact_totals(spark, d):
+    m, games, p = _matched(spark, d)
+    documents, _ = artifacts.region_documents(regions.grouped(m, games), regions.coverage(games, p, m), _claims(games), _CONF, F.lit("2026-01-01T00:00:00Z"))
+    return artifacts.region_rows(_reread(documents, "scope_id", artifacts.REGION_BYTES))
+
+
+@query("occupancy_faults", f"WITH {_VOXELS} SELECT game_id, 'slot_cell_limit' AS code FROM v GROUP BY game_id, slot HAVING count(*) > {occupancy.SLOT_CELLS}")
+def occupancy_faults(spark, d):
+    return occupancy.faults(occupancy.saturated(occupancy.voxels(_classified(spark, d))))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import json
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,16 +27,28 @@ def content_hash(df: DataFrame) -> str:
 
 
 def write_generation(df: DataFrame, root: str, scope: str, generation: int) -> str:
-    """Write a generation once; writing equal rows again is no error, other rows are."""
-    at = f"{root}/scope={scope}/generation={generation}"
+    """Write a generation once; writing equal rows again is no error, other rows are.
+
+    The rows are written under a name of their own and renamed, so of two writers one is first and the other compares.
+    """
+    at, mine = f"{root}/scope={scope}/generation={generation}", f"{root}/_writing/{uuid.uuid4().hex}"
     spark = df.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(path(at)):
+        try:
+            df.write.parquet(mine)
+            digest = content_hash(spark.read.schema(df.schema).parquet(mine))
+            files.mkdirs(path(f"{root}/scope={scope}"))
+            # a folder that is there by now would take the renamed one in, so its own marker tells who was first
+            if files.rename(path(mine), path(at)) and not files.exists(path(f"{at}/{mine.rsplit('/', 1)[1]}")):
+                return digest
+            files.delete(path(f"{at}/{mine.rsplit('/', 1)[1]}"), True)
+        finally:
+            files.delete(path(mine), True)
     digest = content_hash(df)
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{at}/_SUCCESS")
-    if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-        if content_hash(spark.read.parquet(at)) != digest:
-            raise ConflictError("immutable_generation_conflict")
-        return digest
-    df.write.mode("overwrite").parquet(at)
+    if content_hash(spark.read.schema(df.schema).parquet(at)) != digest:
+        raise ConflictError("immutable_generation_conflict")
     return digest
 
 
@@ -105,6 +118,60 @@ def totals(results: DataFrame, counters: list[str]) -> DataFrame:
     return results.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in counters], F.count("*").alias("results"))
 
 
+# What the results of scopes count, and the metric that each total is sent as.
+SCOPE_COUNTERS = ("input_games", "input_bytes", "output_bytes", "output_decoded_bytes", "output_cells", "region_output_bytes", "region_output_decoded_bytes", "region_membership_checks", "region_source_cells", "region_missing_games", "region_incompatible_games")
+RUN_COUNTERS = ("input_decoded_bytes", "s3_gets", "api_requests", "api_duration_ms")
+METRICS = {
+    "ScopesCompleted": "completed",
+    "ScopesStale": "stale",
+    "ScopesFailed": "failed",
+    "InputGames": "input_games",
+    "InputBytes": "input_bytes",
+    "InputDecodedBytes": "input_decoded_bytes",
+    "OutputBytes": "output_bytes",
+    "OutputDecodedBytes": "output_decoded_bytes",
+    "OutputCells": "output_cells",
+    "RegionOutputBytes": "region_output_bytes",
+    "RegionOutputDecodedBytes": "region_output_decoded_bytes",
+    "RegionMembershipChecks": "region_membership_checks",
+    "RegionSourceCells": "region_source_cells",
+    "RegionMissingGames": "region_missing_games",
+    "RegionIncompatibleGames": "region_incompatible_games",
+    "RegionArtifactsWritten": "region_artifacts_written",
+    "S3Gets": "s3_gets",
+    "ApiRequests": "api_requests",
+    "ApiDuration": "api_duration_ms",
+    "InvocationDuration": "duration_ms",
+    "ProcessPeakRssKiB": "peak_rss_kib",
+}
+
+
+def invocation(results: DataFrame) -> DataFrame:
+    """One row: the 19 totals of a run over its scopes' results (status, and any of SCOPE_COUNTERS and RUN_COUNTERS; absent and null count 0)."""
+    n = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) if c in results.columns else F.lit(0).cast("bigint").alias(c)
+    ended = [F.count_if(F.col("status") == s).alias(s) for s in ("completed", "stale", "failed")]
+    written = F.count_if(F.col("region_output_bytes") > 0) if "region_output_bytes" in results.columns else F.lit(0).cast("bigint")
+    return results.agg(*ended, *map(n, SCOPE_COUNTERS), written.alias("region_artifacts_written"), *map(n, RUN_COUNTERS))
+
+
+def metrics(run: DataFrame) -> DataFrame:
+    """(metric, value, unit) of a run's totals, with duration_ms and peak_rss_kib if they are there (0 otherwise): 21 rows."""
+    unit = lambda m: "Milliseconds" if m.endswith("Duration") else "Bytes" if m.endswith("Bytes") else "Kilobytes" if m.endswith("KiB") else "Count"
+    value = lambda c: F.coalesce(F.col(c).cast("bigint"), F.lit(0).cast("bigint")) if c in run.columns else F.lit(0).cast("bigint")
+    return run.select(F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), value(c).alias("value"), F.lit(unit(m)).alias("unit")) for m, c in METRICS.items()])))
+
+
+def attempted(failed: DataFrame, earlier: DataFrame, most_attempts: int = 4) -> tuple[DataFrame, DataFrame]:
+    """(to try again, dead letters), both (id, error, retryable, attempts), of the items that failed now (id, error, retryable).
+
+    earlier: (id, attempts) of all tries before, of which the highest counts."""
+    before = earlier.groupBy("id").agg(F.max("attempts").alias("_before"))
+    now = failed.groupBy("id").agg(F.min("error").alias("error"), F.min("retryable").alias("retryable"))
+    rows = now.join(before, "id", "left").select("id", "error", "retryable", (F.coalesce("_before", F.lit(0)) + 1).cast("int").alias("attempts"))
+    dead = dead_letters(rows, most_attempts)
+    return rows.where("not (not retryable or attempts >= %d)" % most_attempts), dead
+
+
 def drop(spark: SparkSession, path: str) -> None:
     """Delete an output that failed or went stale."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -119,10 +186,13 @@ def generated_at(manifests: DataFrame, scope: str, generation: int, now: Column)
 
 def complete(manifests: DataFrame, scope: str, outputs: dict[str, tuple[int, str]], revision: int, current: int) -> DataFrame:
     """Activate several outputs (kind: generation, hash) of a scope at once, or none: their manifests must be there with those hashes."""
-    here = {r["kind"]: (r["generation"], r["sha256"]) for r in manifests.where(F.col("scope_id") == scope).where("state <> 'superseded'").collect() if (r["generation"], r["sha256"]) == outputs.get(r["kind"])}
+    wanted = F.lit(False)
+    for kind, (generation, digest) in outputs.items():
+        wanted = wanted | ((F.col("kind") == kind) & (F.col("generation") == generation) & (F.col("sha256") == digest))
+    here = {r["kind"] for r in manifests.where((F.col("scope_id") == scope) & (F.col("state") != "superseded") & wanted).select("kind").distinct().collect()}
     if revision != current:
         raise ConflictError("stale_revision")
-    if set(here) != set(outputs):
+    if here != set(outputs):
         raise ConflictError("incomplete_outputs")
     mine = F.col("scope_id") == scope
     now = F.lit(False)

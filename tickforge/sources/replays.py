@@ -116,6 +116,12 @@ def work_items(messages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return objects, good, bad
 
 
+def unprocessed(items: DataFrame, prefix: str) -> DataFrame:
+    """Objects (key, ...) that uploads have made: those under the prefix, and of them those whose event, if there is one, is a creation."""
+    made = F.col("event_name").isNull() | F.col("event_name").startswith("ObjectCreated:") if "event_name" in items.columns else F.lit(True)
+    return items.where(F.col("key").startswith(prefix) & made)
+
+
 def verified(files: DataFrame, manifests: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good, rejects) of artifacts: files (path, content, length) whose size and SHA-256 are what manifests (path, size_bytes, sha256) say."""
     j = manifests.join(files.select("path", "content", "length"), "path", "left")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tickforge.operators import alarms as A
 from tickforge.operators import occupancy as O
 from tickforge.operators import replay as R
 from tickforge.sources import replays as S
@@ -41,9 +42,16 @@ def ingest(spark: SparkSession, source: str, out: str, checkpoint: str, cell_siz
 
 
 def metric_windows(points: DataFrame, period: int, late: str = "10 minutes") -> DataFrame:
-    """Tumbling windows of a stream of points (ts, metric, value); points later than the watermark are dropped."""
+    """Tumbling windows of a stream of points (ts, metric, value) with every statistic of alarms; points later than the watermark are dropped."""
     w = F.window("ts", f"{period} seconds")
-    return points.withWatermark("ts", late).groupBy("metric", w.alias("w")).agg(F.count("*").alias("points"), F.sum("value").alias("sum"), F.max("value").alias("maximum")).select("metric", F.col("w.start").alias("start"), "points", "sum", "maximum")
+    out = points.withWatermark("ts", late).groupBy("metric", w.alias("w")).agg(F.count("*").alias("points"), *[f("value").alias(s.lower()) for s, f in A.STATISTICS.items()])
+    return out.select("metric", F.col("w.start").alias("start"), "points", *[s.lower() for s in A.STATISTICS])
+
+
+def breaches(windows: DataFrame, alarm: A.Alarm) -> DataFrame:
+    """(metric, start, value, breach) of one alarm over streamed windows; alarms of one period fire where it breaches."""
+    value = F.col(alarm.statistic.lower())
+    return windows.where(F.col("metric") == alarm.metric).select("metric", "start", value.alias("value"), alarm.breach(value).alias("breach"))
 
 
 def maintain(spark: SparkSession, dirty: DataFrame, roll_up: Callable[[str, int], None], most: int = 4, seconds: float = 810.0) -> list[str]:
