@@ -10,6 +10,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickforge.functions.percentiles import attach, percentiles
+
 
 class Pipeline:
     """A DataFrame behind the steps of a log query; every step returns a new pipeline."""
@@ -35,8 +37,15 @@ class Pipeline:
     def filter(self, condition: Column | str) -> Pipeline:
         return self._with(self.df.where(condition))
 
-    def stats(self, by: Iterable[str], **aggregates: Column) -> Pipeline:
-        return self._with(self.df.groupBy(*by).agg(*[c.alias(n) for n, c in aggregates.items()]))
+    def stats(self, by: Iterable[str], **aggregates: Column | tuple[str, float]) -> Pipeline:
+        """Aggregates of groups; pct() ones are found apart, so that a group of any size keeps no buffer of its values."""
+        by = list(by)
+        plain = {n: c for n, c in aggregates.items() if isinstance(c, Column)}
+        ranked = {n: c for n, c in aggregates.items() if not isinstance(c, Column)}
+        out = self.df.groupBy(*by).agg(*[c.alias(n) for n, c in (plain or {"_rows": F.count("*")}).items()])
+        if ranked:
+            out = attach(out, percentiles(self.df, by, ranked), by, "left").select(*by, *aggregates)
+        return self._with(out)
 
     def sort(self, field: str, ties: Iterable[str] = ()) -> Pipeline:
         """Descending, nulls last; ties are broken by further fields, so that a limit is repeatable."""
@@ -49,8 +58,9 @@ class Pipeline:
         return self._with(self.df.limit(n))
 
 
-def pct(field: str, p: float) -> Column:
-    return F.percentile(field, p / 100)
+def pct(field: str, p: float) -> tuple[str, float]:
+    """An exact percentile for stats: the field and the share of its values below."""
+    return field, p / 100
 
 
 # The log fields and the patterns that find them.
