@@ -29,7 +29,8 @@ def content_hash(df: DataFrame) -> str:
 def write_generation(df: DataFrame, root: str, scope: str, generation: int) -> str:
     """Write a generation once; writing equal rows again is no error, other rows are.
 
-    The rows are written under a name of their own and renamed, so of two writers one is first and the other compares.
+    The rows are written under a name of their own and renamed, so of two writers one is first and the other compares.  This
+    needs a file system whose renames are atomic; on an object store without them writers of a scope must take turns.
     """
     at, mine = f"{root}/scope={scope}/generation={generation}", f"{root}/_writing/{uuid.uuid4().hex}"
     spark = df.sparkSession
