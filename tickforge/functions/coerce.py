@@ -82,13 +82,21 @@ def seconds(c: Column) -> Column:
 
 def slot(c: Column) -> Column:
     """An integral slot from 0 to 63."""
-    d = number(c)
+    return slot_of(number(c))
+
+
+def slot_of(d: Column) -> Column:
+    """slot of a double."""
     return F.when((d == F.floor(d)) & d.between(0, 63), d.cast("int"))
 
 
 def coordinate(c: Column) -> Column:
     """A finite double."""
-    d = number(c)
+    return finite(number(c))
+
+
+def finite(d: Column) -> Column:
+    """The double, null if it is NaN or infinite."""
     return F.when(~F.isnan(d) & (F.abs(d) < float("inf")), d)
 
 

@@ -6,12 +6,15 @@ from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tickforge.functions import sanitise as S
 from tickforge.operators import occupancy as O
 from tickforge.operators import replay as R
 from tickforge.sources import replays as D
 
+_CONTEXT = ("ends", "network", "explicit")
+
 
 class Tables:
     """The tables of replay documents (D.read_replays); each is planned when it is first asked for.
@@ -22,13 +25,25 @@ class Tables:
     The typed projections that several tables start from (players, contexts, samples, voxels) go through `hold`, so the
     documents are parsed once for each of those and not for each table.  The default caches them; for large inputs give
     a function that writes a table and reads it back.
+
+    With `only`, the name of a table in NEEDS, just that table is to be asked for: the documents are parsed once, what it
+    needs of them is held, and of what follows only samples and capped cells are.
     """
 
     NAMES = ("games", "participants", "contexts", "team_stats", "game_facts", "participant_facts", "graph_coverage", "graph_players", "spawn_points", "voxels", "discards", "coverage", "event_counts", "documents", "dead_letters")
 
-    def __init__(self, docs: DataFrame, cell_size: float = 0.5, slot_cells: int = O.SLOT_CELLS, game_cells: int = O.GAME_CELLS, hold: Callable[[DataFrame], DataFrame] = DataFrame.persist):
-        self.docs, self.cell_size, self.caps, self.hold = docs, cell_size, (slot_cells, game_cells), hold
-        self.good = D.game_key(docs.where("error is null"))
+    #: What a table needs of each document, where it can start from a held scan.
+    NEEDS = {"contexts": _CONTEXT}
+
+    def __init__(self, docs: DataFrame, cell_size: float = 0.5, slot_cells: int = O.SLOT_CELLS, game_cells: int = O.GAME_CELLS, hold: Callable[[DataFrame], DataFrame] = DataFrame.persist, only: str | None = None):
+        self.docs, self.cell_size, self.caps, self.held = docs, cell_size, (slot_cells, game_cells), hold
+        self.only, self.hold = only, hold if only is None else lambda df: df
+
+    @cached_property
+    def good(self) -> DataFrame:
+        if self.only is None:
+            return D.game_key(self.docs.where("error is null"))
+        return self.held(D.scanned(D.game_key(self.docs), self.NEEDS[self.only])).where("error is null")
 
     @cached_property
     def players(self) -> DataFrame:
@@ -61,11 +76,12 @@ class Tables:
 
     @cached_property
     def classified(self) -> DataFrame:
-        return O.classify(self.hold(D.player_samples(self.good)))
+        ticks = self.good if self.only is None else self.good.select("game_id", F.col("all_ticks").alias("ticks"))
+        return O.classify(self.held(D.player_samples(ticks)))
 
     @cached_property
     def capped(self) -> DataFrame:
-        return self.hold(O.capped(O.voxels(self.classified, self.cell_size), *self.caps))
+        return self.held(O.capped(O.voxels(self.classified, self.cell_size), *self.caps))
 
     @cached_property
     def excluded(self) -> tuple[DataFrame, DataFrame]:

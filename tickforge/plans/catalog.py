@@ -14,6 +14,7 @@ from tickforge.plans import adapters as A
 from tickforge.plans import assemble, documents
 from tickforge.plans.adapters import adapt, duck_sql
 from tickforge.sinks import artifacts, generations
+from tickforge.sinks.held import held
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -453,7 +454,9 @@ _COLUMNS = {
 
 def _document(table: str) -> None:
     def run(spark: SparkSession, d: str) -> DataFrame:
-        made = getattr(assemble.Tables(documents.parsed(spark, d), hold=lambda df: df), "team_stats" if table == "teams" else table)
+        docs = documents.parsed(spark, d)
+        made = assemble.Tables(docs, hold=lambda df: held(df, table), only=table) if table in assemble.Tables.NEEDS else assemble.Tables(docs, hold=lambda df: df)
+        made = getattr(made, "team_stats" if table == "teams" else table)
         return made.select(*_COLUMNS.get(table, made.columns))
 
     query(f"replay_doc_{table}", documents.EXPECTED[table])(run)

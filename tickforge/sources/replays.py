@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,6 +67,24 @@ def game_key(replays: DataFrame) -> DataFrame:
     return replays.withColumn("game_id", F.when(F.size("ticks") > 0, own).otherwise(F.coalesce(C.text(C.as_text(F.col("summary.game_id"))), F.col("file"))))
 
 
+#: What `scanned` can keep of a document.
+SCANNED = ("ends", "samples", "network", "explicit", "meta")
+
+
+def scanned(replays: DataFrame, parts: Collection[str]) -> DataFrame:
+    """(game_id, error, and the columns of parts) of keyed documents, narrowed so that they can be written after one parse.
+
+    `ends` gives ticks, the first and the last without the players' places; `samples` gives all_ticks, with the places and
+    what decides their use; `network`, `explicit` (participant_context) and `meta` (game_meta) give VARIANT columns.  Rows
+    with an error stay: a filter in front of the parser would make Spark parse for the filter and again for the rows.
+    """
+    of_end = lambda t: F.struct(F.transform(t["players"], lambda p: p.dropFields("player_object_data")).alias("players"))
+    of_all = lambda t: F.struct(F.transform(t["players"], lambda p: F.struct(*[p[n].alias(n) for n in ("player_index", "derived_stats", "player_object_data")])).alias("players"))
+    ends = F.when(F.size("ticks") > 0, F.transform(F.array(F.get("ticks", F.lit(0)), F.element_at("ticks", -1)), of_end))
+    columns = {"ends": ends.alias("ticks"), "samples": F.transform("ticks", of_all).alias("all_ticks"), "network": F.col("network"), "explicit": F.col("participant_context"), "meta": F.col("game_meta")}
+    return _network(replays).select("game_id", "error", *[columns[p] for p in SCANNED if p in parts])
+
+
 def player_samples(replays: DataFrame) -> DataFrame:
     """(game_id, tick, pos, slot, hostman, has_object, x, y, z, missing) of every player in every tick, in array order."""
     t = replays.select("game_id", F.posexplode("ticks").alias("tick", "t")).select("game_id", "tick", F.posexplode("t.players").alias("pos", "p"))
@@ -74,13 +92,12 @@ def player_samples(replays: DataFrame) -> DataFrame:
     absent = F.lit(False)
     for a in "xyz":
         absent = absent | d[a].isNull()
-    slot = F.coalesce(F.when(~_is_boolean(F.col("p.player_index")), C.slot(C.as_text(F.col("p.player_index")))), F.when(F.col("p.player_index").isNull(), F.col("pos")))
-    xyz = [F.when(~_is_boolean(d[a]), C.coordinate(C.as_text(d[a]))).alias(a) for a in "xyz"]
-    return t.select("game_id", "tick", "pos", slot.cast("int").alias("slot"), F.coalesce(C.boolean(C.as_text(F.col("p.derived_stats.is_hostman"))), F.lit(False)).alias("hostman"), d.isNotNull().alias("has_object"), *xyz, absent.alias("missing"))
-
-
-def _is_boolean(v: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(v) == "BOOLEAN", F.lit(False))
+    # one projection for each step, so that Spark computes each once
+    values = {"i": F.col("p.player_index"), **{a: d[a] for a in "xyz"}}
+    t = t.select("game_id", "tick", "pos", C.as_text(F.col("p.derived_stats.is_hostman")).alias("hostman"), d.isNotNull().alias("has_object"), absent.alias("missing"), values["i"].isNull().alias("no_index"), *[F.schema_of_variant(v).alias(f"{n}_kind") for n, v in values.items()], *[F.try_variant_get(v, "$", "string").alias(f"{n}_raw") for n, v in values.items()])
+    t = t.withColumns({n: F.when(~F.col(f"{n}_kind").rlike("^(?:OBJECT|ARRAY|BOOLEAN)"), F.col(f"{n}_raw")) for n in values}).withColumns({n: C.number(F.col(n)) for n in values})
+    slot = F.coalesce(C.slot_of(F.col("i")), F.when(F.col("no_index"), F.col("pos")))
+    return t.select("game_id", "tick", "pos", slot.cast("int").alias("slot"), F.coalesce(C.boolean(F.col("hostman")), F.lit(False)).alias("hostman"), "has_object", *[C.finite(F.col(a)).alias(a) for a in "xyz"], "missing")
 
 
 def end_players(replays: DataFrame) -> DataFrame:
@@ -189,7 +206,9 @@ def meta_players(replays: DataFrame, most: int = 64) -> DataFrame:
 
 
 def _network(replays: DataFrame) -> DataFrame:
-    """The network client: of the document if it is not empty, else of the first tick that has one."""
+    """The network client: of the document if it is not empty, else of the first tick that has one; scanned documents have it."""
+    if "network" in replays.columns:
+        return replays
     full = lambda v: F.schema_of_variant(v).startswith("OBJECT") & (F.schema_of_variant(v) != "OBJECT<>")
     of_ticks = F.get(F.filter(F.transform("ticks", lambda t: t["network_game_client"]), lambda v: F.coalesce(full(v), F.lit(False))), F.lit(0))
     return replays.withColumn("network", F.when(F.coalesce(full(F.col("network_game_client")), F.lit(False)), F.col("network_game_client")).otherwise(of_ticks))
