@@ -13,7 +13,7 @@ from tickforge.sinks.held import held
 from tickforge.sources import replays as D
 
 SF = "/root/testdata/sf0.001"
-TABLES = ["contexts", "graph_players", "discards", "participant_facts"]
+TABLES = ["contexts", "graph_players", "discards", "participant_facts", "voxels"]
 
 
 def plan(df):

@@ -33,7 +33,7 @@ class Tables:
     NAMES = ("games", "participants", "contexts", "team_stats", "game_facts", "participant_facts", "graph_coverage", "graph_players", "spawn_points", "voxels", "discards", "coverage", "event_counts", "documents", "dead_letters")
 
     #: What a table needs of each document, where it can start from a held scan.
-    NEEDS = {"contexts": _CONTEXT, "graph_players": _CONTEXT, "discards": (*_CONTEXT, "samples"), "participant_facts": (*_CONTEXT, "meta")}
+    NEEDS = {"contexts": _CONTEXT, "graph_players": _CONTEXT, "discards": (*_CONTEXT, "samples"), "participant_facts": (*_CONTEXT, "meta"), "voxels": (*_CONTEXT, "samples")}
 
     def __init__(self, docs: DataFrame, cell_size: float = 0.5, slot_cells: int = O.SLOT_CELLS, game_cells: int = O.GAME_CELLS, hold: Callable[[DataFrame], DataFrame] = DataFrame.persist, only: str | None = None):
         self.docs, self.cell_size, self.caps, self.held = docs, cell_size, (slot_cells, game_cells), hold
