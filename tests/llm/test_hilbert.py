@@ -97,3 +97,10 @@ def test_no_block_is_hot(spark, monkeypatch):
     for r in got:
         size[r.shard] += r["size"]
     assert max(size.values()) - min(size.values()) <= 40
+
+
+def test_id_bins_are_exact_whatever_the_number_of_rows(spark):
+    rows = spark.range(40_000).select((F.col("id") * F.col("id") + 10**9).alias("_id")).unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) AS _id"))
+    n = 40_001
+    bins = rows.select(F.struct(F.col("_id").alias("i")).alias("m")).where("m.i IS NOT NULL").groupBy(hilbert._id_bin(rows, n).alias("b")).count().collect()
+    assert sorted(r["b"] for r in bins) == list(range(16)) and {r["count"] for r in bins} == {2500}

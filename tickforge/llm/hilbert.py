@@ -8,7 +8,8 @@ covers few ranges of every dimension.
 
 from __future__ import annotations
 
-from functools import lru_cache
+import math
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,8 +25,8 @@ BUCKET_BITS = 12
 #: bucket with more is cut into its cells of the curve, and cells with more, whose rows agree in all dimensions, by a
 #: hash of the group.  Tables of up to LEAST rows a block are never cut.
 HOT, LEAST = 2048, 256
-#: About this many different ids set the bins of the id dimension.
-SAMPLED = 8192
+#: Ids in each range of them, and the most ranges.
+RANGE, MOST_RANGES = 8192, 4096
 
 
 @lru_cache
@@ -81,10 +82,24 @@ def hilbert_index(dims: list[Column], bits: int) -> Column:
 
 
 def _id_bin(rows: DataFrame, n: int) -> Column:
-    """The bin of _id among 2^BITS of near equal count; their limits are quantiles of a sample that a hash of the id draws."""
-    every = F.pmod(F.xxhash64("_id", F.lit(9)), F.lit(max(1, n // SAMPLED))) == 0
-    at = [k / (1 << BITS) for k in range(1, 1 << BITS)]
-    limits = rows.where(every & F.col("_id").isNotNull()).select(F.col("_id").cast("double").alias("i")).distinct().agg(F.percentile("i", F.array(*map(F.lit, at)))).first()[0] or []
+    """The bin of _id among 2^BITS of near equal count; their limits are the exact quantiles of the different ids.
+
+    The ids are put in order by ranges; the ranges' counts say where the quantiles' ranks lie, and only those ranges are
+    numbered, each in a task of about RANGE ids.
+    """
+    ids = rows.where(F.col("_id").isNotNull()).select(F.col("_id").cast("double").alias("i")).distinct()
+    ids = settle(ids.repartitionByRange(min(MOST_RANGES, 1 + n // RANGE), "i").withColumn("_p", F.spark_partition_id()), "shard-ids")
+    counts = sorted((r["_p"], r["count"]) for r in ids.groupBy("_p").count().collect())
+    total = sum(c for _, c in counts)
+    at = [(total - 1) * k / (1 << BITS) for k in range(1, 1 << BITS)] if total else []
+    ranks, base, spots = sorted({f(x) for x in at for f in (math.floor, math.ceil)}), 0, {}
+    for p, c in counts:
+        spots |= {(p, r - base + 1): r for r in ranks if base <= r < base + c}
+        base += c
+    placed = ids.where(F.col("_p").isin([p for p, _ in spots])).withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy("i")))
+    found = placed.where(reduce(lambda x, y: x | y, [(F.col("_p") == p) & (F.col("_r") == r) for p, r in spots], F.lit(False))).collect() if spots else []
+    value = {spots[r["_p"], r["_r"]]: r["i"] for r in found}
+    limits = [value[math.floor(x)] if x == math.floor(x) else (math.ceil(x) - x) * value[math.floor(x)] + (x - math.floor(x)) * value[math.ceil(x)] for x in at]
     return sum((F.when(F.col("m.i") > x, 1).otherwise(0) for x in limits), F.lit(0))
 
 
