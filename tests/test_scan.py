@@ -4,8 +4,10 @@ import json
 import os
 
 import pytest
+from pyspark.sql import functions as F
 from tests.test_assemble import document
 
+from tickforge.operators import replay as R
 from tickforge.plans import catalog
 from tickforge.plans.assemble import Tables
 from tickforge.session import configure
@@ -60,3 +62,21 @@ def test_samples_of_odd_values(odd):
         (None, True, True, 1.0, 2.0, 3.0, False), (2, False, True, 10.0, None, 0.0, False), (None, False, True, None, None, None, False), (None, False, True, None, 1.0, None, True),
         (None, True, False, None, None, None, True), (None, True, True, 5e6, 1.0, 1.0, False), (7, False, True, 2.0, None, -0.5, False),
     ]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="the tables are not here")
+@pytest.mark.parametrize("table", ["contexts", "participant_facts"])
+def test_nothing_is_broadcast_for_the_size_of_its_files(spark, table):
+    """A held scan of few bytes may hold millions of players; they must not meet on the driver."""
+    df = catalog.QUERIES[f"replay_doc_{table}"](spark, SF)
+    assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_streaks_have_the_rows_of_participants(spark):
+    configure(spark)
+    players = spark.createDataFrame([("g", m, i, p) for m in ("first", "last") for i, p in enumerate(["0", None, "1", "x", "7"])], "game_id string, moment string, pos int, player_index string")
+    players = players.selectExpr("*", "true AS team_given", *[f"CAST(NULL AS STRING) AS {c}" for c in ("name", "player_name", "team", "score", "ctf_score", "kills", "deaths", "assists", "suicides", "team_kills")])
+    meta = D.meta_players(D.parse(spark.createDataFrame([("g", json.dumps({"game_meta": {"players": {"0": {"streak_by_tick": {"5": 3}}, "1": {"multikill_counts_by_amount": {"2": 4, "5": 1}}, "01": {"multikills_by_tick": {"9": [2, 3]}}, "9": {}}}}), None)], "file string, doc string, error string")).withColumn("game_id", F.lit("g")))
+    columns = ["game_id", "slot", "max_kill_streak", "multikills"]
+    got = sorted(map(repr, R.streaks(players, meta).select(columns).collect()))
+    assert len(got) == 7 and got == sorted(map(repr, R.participants(players, meta).select(columns).collect()))

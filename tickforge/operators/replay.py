@@ -62,19 +62,23 @@ def network_contexts(network: DataFrame) -> DataFrame:
     own = last_wins(rows).withColumn("is_host", F.col("machine_index") == 0)
     s = screens(rows.where("machine_index is not null").select("game_id", F.col("machine_index").alias("machine"), F.coalesce("controller_index", "pos").alias("place"), "slot"))
     s = s.groupBy("game_id", "slot").agg(F.min("screen_slot").alias("screen_slot"), F.min("screen_layout").alias("screen_layout"))
-    return _shape(own.drop("pos").join(s, ["game_id", "slot"], "left"))
+    return _shape(own.drop("pos").join(s.hint("merge"), ["game_id", "slot"], "left"))
 
 
 def tick_contexts(players: DataFrame, machines: DataFrame) -> DataFrame:
-    """Contexts of the last tick's players, filled from the first tick; machines: (game_id, machine) is the recording machine."""
-    p = slots(players).withColumns({"local": C.truncated(F.col("local_player")).cast("int"), "host": C.boolean(F.col("is_host")), "hostman": C.boolean(F.col("is_hostman"))}).select("game_id", "moment", "pos", "slot", "local", "host", "hostman")
-    first = last_wins(p.where("moment = 'first'")).select("game_id", "slot", *[F.col(c).alias(f"f_{c}") for c in ("local", "host", "hostman")])
-    j = last_wins(p.where("moment = 'last'")).join(first, ["game_id", "slot"], "left").join(machines, "game_id", "left")
-    j = j.select("game_id", "slot", "machine", *[F.coalesce(c, f"f_{c}").alias(c) for c in ("local", "host", "hostman")])
+    """Contexts of the last tick's players, filled from the first tick; machines: (game_id, machine) is the recording machine.
+
+    One shuffle brings both ticks of a slot together.  Joins merge: players out of a compressed scan look small to Spark,
+    which would gather all of them on the driver to broadcast them.
+    """
+    p = slots(players).withColumns({"local": C.truncated(F.col("local_player")).cast("int"), "host": C.boolean(F.col("is_host")), "hostman": C.boolean(F.col("is_hostman"))}).select("game_id", "moment", "slot", F.struct("pos", "local", "host", "hostman").alias("s"))
+    end = lambda m: F.max(F.when(F.col("moment") == m, F.col("s"))).alias(m)
+    j = p.groupBy("game_id", "slot").agg(end("first"), end("last")).where("last is not null").join(machines.hint("merge"), "game_id", "left")
+    j = j.select("game_id", "slot", "machine", *[F.coalesce(f"last.{c}", f"first.{c}").alias(c) for c in ("local", "host", "hostman")])
     here = (F.col("local") >= 0) & F.col("machine").isNotNull()
     own = j.select("game_id", "slot", F.when(here, F.col("machine")).alias("machine_index"), F.when(F.col("local") >= 0, F.col("local")).alias("controller_index"), F.coalesce("host", F.when(here, F.col("machine") == 0)).alias("is_host"), F.col("hostman").alias("is_hostman"))
     s = screens(j.where(here).select("game_id", "machine", F.col("local").alias("place"), "slot"))
-    return _shape(own.join(s, ["game_id", "slot"], "left"))
+    return _shape(own.join(s.hint("merge"), ["game_id", "slot"], "left"))
 
 
 def explicit_contexts(rows: DataFrame) -> DataFrame:
@@ -89,10 +93,10 @@ def explicit_contexts(rows: DataFrame) -> DataFrame:
 
 def merge_contexts(network: DataFrame, tick: DataFrame, explicit: DataFrame) -> DataFrame:
     """One context a slot; of each field the document's statement comes first, then the network's, then the tick's."""
-    tag = lambda df, t: df.select("game_id", "slot", F.struct(*CONTEXT).alias(t))
+    known = F.coalesce(*[F.col(c).cast("string") for c in CONTEXT]).isNotNull()
+    tag = lambda df, t: df.where(known).select("game_id", "slot", F.struct(*CONTEXT).alias(t))
     j = reduce(lambda a, b: a.join(b, ["game_id", "slot"], "full_outer"), [tag(network, "n"), tag(tick, "t"), tag(explicit, "e")])
-    out = j.select("game_id", "slot", *[F.coalesce(f"e.{c}", f"n.{c}", f"t.{c}").alias(c) for c in CONTEXT])
-    return out.where(F.coalesce(*[F.col(c).cast("string") for c in CONTEXT]).isNotNull())
+    return j.select("game_id", "slot", *[F.coalesce(f"e.{c}", f"n.{c}", f"t.{c}").alias(c) for c in CONTEXT])
 
 
 def hosts(contexts: DataFrame) -> DataFrame:
@@ -206,6 +210,12 @@ def release(ends: DataFrame) -> DataFrame:
     return ends.select("game_id", release_key(F.col("game_release_key")).alias("game_release_key"), C.truncated(F.col("cache_version")).alias("cache_version"), *safe)
 
 
+def streaks(players: DataFrame, meta: DataFrame) -> DataFrame:
+    """The rows of participants with max_kill_streak and multikills alone: made before the shuffle, and no first tick is joined."""
+    m = meta.select("game_id", "slot", max_streak(F.col("streak_by_tick"), F.col("streak_counts_by_amount")).alias("max_kill_streak"), multikills(F.col("multikill_counts_by_amount"), F.col("multikills_by_tick")).alias("multikills"))
+    return slots(players.where("moment = 'last'")).select("game_id", "slot").join(m.hint("merge"), ["game_id", "slot"], "left")
+
+
 def participant_facts(rows: DataFrame, contexts: DataFrame) -> DataFrame:
     """(game_id, slot, key, value): what is known of a participant's context and streaks, as texts."""
     j = rows.select("game_id", "slot", "max_kill_streak", F.col("multikills.double").alias("double_kills"), F.col("multikills.triple").alias("triple_kills"), F.col("multikills.more").alias("multikills_4_plus")).join(contexts, ["game_id", "slot"], "left")

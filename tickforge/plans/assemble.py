@@ -105,7 +105,8 @@ class Tables:
 
     @cached_property
     def participant_facts(self) -> DataFrame:
-        return R.participant_facts(self.participants, self.contexts)
+        rows = self.participants if self.only is None else R.streaks(self.players, D.meta_players(self.good))
+        return R.participant_facts(rows, self.contexts)
 
     @cached_property
     def graph_coverage(self) -> DataFrame:
